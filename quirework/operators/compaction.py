@@ -111,7 +111,7 @@ def pack(kept: DataFrame, target_bytes: int = 128 << 20, fan_in: int = 16, base_
         last = level == levels + 1
         files = members.groupBy("src", "bucket", "container").agg(F.sum("n_bytes").alias("b"))
         small = files.where(F.col("b") < (target_bytes // 2 if last else target_bytes))
-        tier = F.floor(F.log(F.lit(float(fan_in)), F.greatest(F.col("b") / base_bytes, F.lit(1.0)))).cast("int")
+        tier = F.floor(F.log(float(fan_in), F.greatest(F.col("b") / base_bytes, F.lit(1.0)))).cast("int")
         small = small.withColumn("tier", F.lit(-1) if last else tier)
         limit = F.lit(float(target_bytes)) if last else F.least(F.lit(float(target_bytes)), F.pow(F.lit(float(fan_in)), F.col("tier") + 1) * base_bytes)
         order = Window.partitionBy("src", "bucket", "tier").orderBy("b", "container").rowsBetween(Window.unboundedPreceding, -1)

@@ -142,9 +142,9 @@ def nesting_depth(json: str) -> str:
 
 
 def profile_leaves(df: DataFrame, parent_id: str, json: str) -> DataFrame:
-    """(parent_id, path, kind, value): every value that is neither object nor array.
+    """(parent_id, path, kind, value, number): every value that is neither object nor array.
 
-    JSON nulls are values; array positions are zero-based. A string that holds
+    Numbers are in ``number``, text and booleans in ``value``. JSON nulls are values; array positions are zero-based. A string that holds
     JSON counts as the object inside. Anything that is no complete object gives
     nothing, and so do empty objects and arrays. Any depth is followed: one pass
     finds the deepest nesting, and each projection unrolls ``LEVELS`` of it.
@@ -169,7 +169,8 @@ def profile_leaves(df: DataFrame, parent_id: str, json: str) -> DataFrame:
         leaves = leaves.selectExpr(
             "parent_id", "substr(path, 2) AS path",
             f"CASE WHEN s = 'STRING' THEN 'string' WHEN s = 'BOOLEAN' THEN 'boolean' WHEN s = 'VOID' THEN 'null' WHEN s RLIKE '{NUMBER}' THEN 'number' ELSE lower(s) END AS kind",
-            "variant_get(v, '$', 'string') AS value",
+            f"CASE WHEN s NOT RLIKE '{NUMBER}' THEN variant_get(v, '$', 'string') END AS value",
+            f"CASE WHEN s RLIKE '{NUMBER}' THEN variant_get(v, '$', 'double') END AS number",
         )
         found = leaves if found is None else found.unionByName(leaves)
         frontier = out.where("s LIKE 'OBJECT%' OR s LIKE 'ARRAY%'").select("parent_id", "path", "v")
