@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quirework.llm import packing, tokens
+from quirework.llm import packing, sentences, tokens
 from quirework.session import read_table
 
 
@@ -20,6 +20,10 @@ def p8_packed(spark: SparkSession, d: str) -> DataFrame:
     return packing.pack_all(read_table(spark, d, "documents"), read_table(spark, d, "capacities"))
 
 
-QUERIES = {f.__name__: f for f in (p7_ids, p7_round_trip, p8_packed)}
+def p9_found(spark: SparkSession, d: str) -> DataFrame:
+    return sentences.sentences(read_table(spark, d, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (p7_ids, p7_round_trip, p8_packed, p9_found)}
 
 SQL: dict[str, str] = {}
