@@ -45,3 +45,17 @@ def next_in_sequence(df: DataFrame, key: str, order: str, value: Column, out: st
     joined = base.join(firsts, F.col(key).eqNullSafe(F.col("_k")) & (F.col("_c") == F.col("_cc")), "left")
     picked = F.when(F.col("_last"), F.col("_after")).otherwise(F.col("_next"))
     return joined.withColumn(out, picked).drop("_c", "_v", "_next", "_last", "_k", "_cc", "_after")
+
+
+def last_in_sequence(df: DataFrame, key: str, order: str, value: str, out: str, span: int = 4096) -> DataFrame:
+    """The last non-null ``value`` of the rows before each row of the same ``key``, in chunks as above."""
+    chunk = F.floor(F.col(order) / F.lit(span))
+    base = df.withColumn("_c", chunk)
+    inner = Window.partitionBy(key, "_c").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    base = base.withColumn("_here", F.last(value, ignorenulls=True).over(inner))
+    lasts = df.where(F.col(value).isNotNull() & F.col(order).isNotNull()).groupBy(F.col(key).alias("_k"), chunk.alias("_cc")).agg(F.max_by(value, order).alias("_lastv"))
+    chunks = df.where(F.col(order).isNotNull()).select(F.col(key).alias("_k"), chunk.alias("_cc")).distinct().join(lasts, ["_k", "_cc"], "left")
+    outer = Window.partitionBy("_k").orderBy("_cc").rowsBetween(Window.unboundedPreceding, -1)
+    chunks = chunks.select("_k", "_cc", F.last("_lastv", ignorenulls=True).over(outer).alias("_earlier"))
+    joined = base.join(chunks, F.col(key).eqNullSafe(F.col("_k")) & (F.col("_c") == F.col("_cc")), "left")
+    return joined.withColumn(out, F.coalesce("_here", "_earlier")).drop("_c", "_here", "_k", "_cc", "_earlier")
