@@ -4,10 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quirework.llm import lookalikes, packing, sentences, tokens
+from quirework.llm import lookalikes, noise, packing, sentences, tokens
 from quirework.session import read_table
 
 
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    return noise.noise(read_table(spark, d, "ocr_lines"), read_table(spark, d, "ocr_pages"), read_table(spark, d, "word_list"), read_table(spark, d, "catalog_terms"))
+
+
+def p5_paragraphs(spark: SparkSession, d: str) -> DataFrame:
+    return noise.paragraphs(read_table(spark, d, "ocr_lines"), read_table(spark, d, "ocr_pages"), read_table(spark, d, "word_list"), read_table(spark, d, "catalog_terms"))
+
+
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
     return lookalikes.headings(read_table(spark, d, "ocr_lines"), read_table(spark, d, "catalog_terms"))
 
@@ -32,6 +40,6 @@ def p9_found(spark: SparkSession, d: str) -> DataFrame:
     return sentences.sentences(read_table(spark, d, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (p6_found, p6_canonical, p7_ids, p7_round_trip, p8_packed, p9_found)}
+QUERIES = {f.__name__: f for f in (p5_found, p5_paragraphs, p6_found, p6_canonical, p7_ids, p7_round_trip, p8_packed, p9_found)}
 
 SQL: dict[str, str] = {}
