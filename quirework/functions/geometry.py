@@ -74,13 +74,19 @@ def char_box(coords: Column, mode: str, x_scale: Column, y_scale: Column) -> Col
 def font_size(text: Column, width: Column, height: Column, metric: Callable[[Column, Column], Column] | None = None, steps: int = 200) -> Column:
     """Font size that fits: 0.9 of the height, lowered by 1 while the text is too wide, kept within 1 and 100.
 
-    ``metric(text, size)`` gives the width; without one a character is as wide as
-    the size. Only whole steps count, so the first of a sequence that fits is taken.
+    ``metric(text, size)`` gives the width. Without one a character is as wide as the
+    size, and the number of steps follows by division; the steps around it are tried,
+    so that rounding decides nothing.
     """
     measure = metric or (lambda t, s: F.length(t) * s)
     start = height * F.lit(0.9)
-    sizes = F.transform(F.sequence(F.lit(0), F.lit(steps)), lambda i: start - i)
-    fits = F.filter(sizes, lambda s: (s <= 1) | (measure(text, s) <= width))
+    if metric:
+        tries = F.sequence(F.lit(0), F.lit(steps))
+    else:
+        widest = F.when(F.length(text) == 0, start).otherwise(width / F.greatest(F.length(text), F.lit(1)))
+        near = F.ceil(start - F.greatest(F.lit(1.0), widest)).cast("int")
+        tries = F.sequence(F.greatest(near - 1, F.lit(0)), F.greatest(near + 1, F.lit(0)))
+    fits = F.filter(F.transform(tries, lambda i: start - i), lambda s: (s <= 1) | (measure(text, s) <= width))
     return F.greatest(F.lit(1.0), F.least(F.lit(100.0), F.coalesce(F.get(fits, F.lit(0)), F.lit(1.0))))
 
 

@@ -70,7 +70,7 @@ def suffix(name: Column | str) -> Column:
 
 def is_within(path: Column | str, root: Column | str) -> Column:
     """Component-wise containment: ``/a/bc`` is not within ``/a/b``."""
-    p, r = F.split(_col(path), "/"), F.split(F.regexp_replace(_col(root), r"(?<=.)/+$", ""), "/")
+    p, r = F.split(_col(path), "/"), F.split(F.regexp_replace(_col(root), r"/+$", ""), "/")
     return (F.size(p) >= F.size(r)) & (F.slice(p, F.lit(1), F.greatest(F.size(r), F.lit(1))) == r)
 
 

@@ -64,6 +64,6 @@ def within_roots(paths: DataFrame, roots: DataFrame, path: str = "path", root: s
     nested loop over all pairs is needed.
     """
     keyed = paths.select(path).distinct().withColumn("_a", F.explode(ancestors(path)))
-    clean = roots.select(F.regexp_replace(root, r"(?<=.)/+$", "").alias("_a")).distinct()
+    clean = roots.select(F.regexp_replace(root, r"/+$", "").alias("_a")).distinct()
     inside = keyed.join(clean, "_a", "left_semi").select(path).distinct()
     return paths.join(inside, path, "left_semi")
