@@ -59,6 +59,8 @@ HYPHEN = "[-‐‑¬­]"
 DIVIDED = rf"\p{{L}}\p{{M}}*{HYPHEN}{BLANK}*$"
 TERMINAL = r"[.!?。！？,;:…，；：]$"
 DECORATED = r"^(第|p\. ?|[-—–·\[(] ?)?([0-9lIiOoSsBbZzgqxvcdmLXVCDM|!]{1,7})( ?[-—–·\])]|\.|页)?$"
+#: The same beside a running line, at its start or end.
+BESIDE = r"((?:第|p\. ?|[-—–·\[(] ?)?[0-9lIiOoSsBbxvcdmLXVCDM]{1,7}(?: ?[-—–·\])]|\.|页)?)"
 LOOKS = ("lIi|!OoQSsBbZzgq", "11111000558822" + "99")
 
 
@@ -141,9 +143,11 @@ def edge_noise(rows: DataFrame, terms: DataFrame | None = None) -> DataFrame:
     running = edges.where("length(key) >= 2").join(models, "source").where(long_enough & close)
     running = running.select("page_id", "line_no").distinct().withColumn("noise", F.lit("running"))
 
-    num = F.regexp_extract("shape", DECORATED, 2)
-    marked = edges.where(F.length("shape") <= 14).withColumn("num", num)
-    marked = marked.withColumn("pre", F.trim(F.regexp_extract("shape", DECORATED, 1))).withColumn("post", F.trim(F.regexp_extract("shape", DECORATED, 3)))
+    alone = F.when(F.length("shape") <= 14, F.col("shape"))
+    joined = F.coalesce(F.nullif(F.regexp_extract("shape", rf"^{BESIDE} +\p{{L}}.{{3}}", 1), F.lit("")), F.nullif(F.regexp_extract("shape", rf"\p{{L}}[^ ]* +{BESIDE}$", 1), F.lit("")))
+    marked = edges.join(running, ["page_id", "line_no"], "left").withColumn("mark", F.when(F.col("noise").isNotNull(), joined).otherwise(alone)).drop("noise")
+    marked = marked.withColumn("num", F.regexp_extract("mark", DECORATED, 2))
+    marked = marked.withColumn("pre", F.trim(F.regexp_extract("mark", DECORATED, 1))).withColumn("post", F.trim(F.regexp_extract("mark", DECORATED, 3)))
     digits = F.translate("num", *LOOKS)
     arabic = F.when(digits.rlike("^[0-9]{1,6}$") & F.col("num").rlike("[0-9]"), digits.cast("int"))
     votes = marked.where("num <> ''").select(
@@ -345,7 +349,11 @@ class Channel:
                 for j in range(k):
                     hit = self.openings.get(part[:j] + "\0" + part[j + 1 :])
                     if hit and HAN.match(part[j]):
-                        c = 9.0 if part[j] not in self.phrase_chars else 14.0
+                        c = 9.0
+                        if part[j] in self.phrase_chars:  # a known character: only well inside the line, where nothing is cut off
+                            if k < 4 or i <= len(left) or i + k >= len(left) + len(text):
+                                continue
+                            c = 16.0
                         if score[i] + 5.0 + c < score[i + k]:
                             score[i + k], link[i + k] = score[i] + 5.0 + c, (i, i + j, min(t for _, t in hit))
         out, at = [], n

@@ -59,19 +59,21 @@ NEXT_WORD = re.compile(r"\p{L}[\p{L}\p{M}’'-]*")
 SPACED = re.compile(r"(?:^|\s)(\p{L})\.[^\S\r\n]?(\p{L})\.$")
 
 #: Evidence in a text: an abbreviation goes on in small letters or numbers ...
-GOES_ON = re.compile(r"(?<![\p{L}\p{M}.])((?:\p{L}\.)*\p{L}[\p{L}\p{M}-]{0,5})\.(?=,|\s+[\p{Ll}\p{Nd}])")
+GOES_ON = re.compile(r"(?<![\p{L}\p{M}.])((?:\p{L}\.)*\p{L}[\p{L}\p{M}-]{0,5})\.(?=,|(?!\s*\n\s*\n)\s+[\p{Ll}\p{Nd}])")
 #: ... a word opens a sentence behind a paragraph break or a strong mark ...
 OPENS = re.compile(r"(?:\A|\n\s*\n\s*|[!?]\s+)(\p{Lu}[\p{L}\p{M}’'-]*)")
 #: ... and a name stands capitalised behind a small-lettered word.
 INSIDE = re.compile(r"\p{Ll},?[ \n](\p{Lu}[\p{L}\p{M}’'-]*)")
 
 
-def evidence(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-    """(kind, word, n) of a stream of texts, summed per batch."""
-    for batch in texts:
+def evidence(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """(kind, word, n) of a stream of (text, line_mode), summed per batch; nothing goes on over a hard line break."""
+    for batch in batches:
         counts: Counter = Counter()
-        for text in batch:
+        for text, mode in zip(batch["text"], batch["line_mode"]):
             if text:
+                if mode == "hard":
+                    text = LINE.sub("\n\n", text)
                 counts.update(("abbreviation", w.lower()) for w in GOES_ON.findall(text))
                 counts.update(("opener", w) for w in OPENS.findall(text))
                 counts.update(("inside", w) for w in INSIDE.findall(text))
@@ -80,7 +82,7 @@ def evidence(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
 
 def corpus_evidence(docs: DataFrame) -> tuple[frozenset[str], frozenset[str]]:
     """(abbreviations, openers) counted over all documents, each at most 1 / MIN_SHARE words."""
-    counts = docs.select("text").mapInPandas(lambda it: evidence(pdf["text"] for pdf in it), "kind string, word string, n bigint")
+    counts = docs.select("text", "line_mode").mapInPandas(evidence, "kind string, word string, n bigint")
     counts = counts.groupBy("kind", "word").agg(F.sum("n").alias("n"))
     wide = counts.groupBy("word").agg(*[F.coalesce(F.sum(F.when(F.col("kind") == k, F.col("n"))), F.lit(0)).alias(k) for k in ("abbreviation", "opener", "inside")])
     totals = wide.agg(F.coalesce(F.sum("abbreviation"), F.lit(0)).alias("a"), F.coalesce(F.sum("opener"), F.lit(0)).alias("o"))

@@ -79,6 +79,6 @@ def test_operator(spark):
 
 
 def test_evidence_is_counted_over_the_corpus(spark):
-    df = spark.createDataFrame([(f"Siehe Abb. {i} und blz. vier.\n\nZebra kam.",) for i in range(20)], "text string")
+    df = spark.createDataFrame([(f"Siehe Abb. {i} und blz. vier.\n\nZebra kam.", "wrapped") for i in range(20)], "text string, line_mode string")
     abbreviations, openers = corpus_evidence(df)
     assert {"abb", "blz"} <= abbreviations and "Zebra" in openers
