@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+import atexit
+import hashlib
+import io
 import os
+import shutil
 import tempfile
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -75,3 +80,40 @@ def row_count_at_most(df: DataFrame, bound: int) -> list | None:
     """
     rows = df.limit(bound + 1).collect()
     return rows if len(rows) <= bound else None
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the workers this package, so that their functions load wherever they were started.
+
+    Once per application; the archive is named by its content and served by the driver.
+    """
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    data = io.BytesIO()
+    with zipfile.ZipFile(data, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, dirs, files in os.walk(root):
+            dirs[:] = sorted(d for d in dirs if d != "__pycache__")
+            for name in sorted(files):
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    with open(path, "rb") as f:
+                        z.writestr(zipfile.ZipInfo(os.path.join(os.path.basename(root), os.path.relpath(path, root))), f.read())
+    name = f"quirework-{hashlib.sha256(data.getvalue()).hexdigest()[:12]}.zip"
+    # the driver serves the file as long as the application runs
+    shared = spark.sparkContext.getConf().get("spark.checkpoint.dir") or ""
+    folder = shared.removeprefix("file://") if shared.startswith(("/", "file:///")) else tempfile.mkdtemp(prefix="quirework-")
+    if not shared:
+        atexit.register(shutil.rmtree, folder, True)
+    os.makedirs(folder, exist_ok=True)
+    path = os.path.join(folder, name)
+    if not os.path.exists(path):
+        with open(f"{path}.{os.getpid()}", "wb") as f:
+            f.write(data.getvalue())
+        os.replace(f"{path}.{os.getpid()}", path)
+    spark.sparkContext.addPyFile(path)
+    _SHIPPED.add(app)
