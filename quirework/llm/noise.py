@@ -24,7 +24,6 @@ import math
 import unicodedata
 from collections import Counter, defaultdict
 from collections.abc import Iterator
-from functools import lru_cache
 
 import pandas as pd
 import regex as re
@@ -129,19 +128,21 @@ def edge_noise(rows: DataFrame, terms: DataFrame | None = None) -> DataFrame:
     title = is_edge & ~F.col("rest").rlike(TERMINAL) & ~F.col("rest").rlike(r"^[^\p{L}]*\p{Ll}") & (F.length("key") >= 3)
     styled = ~F.col("rest").rlike(r"(^|[^\p{L}])\p{Ll}{5,}")
     # a running line stands at edges; what stands in the body as often is text that happens to lie there
-    counts = keyed.where(F.length("key") >= 3).groupBy("source", "key").agg(F.count(F.when(title, 1)).alias("at_edge"), F.count(F.when(title & styled, 1)).alias("styled"), F.count(F.when(~is_edge, 1)).alias("inside"))
+    counts = keyed.where(title).groupBy("source", "key").agg(F.count(F.lit(1)).alias("at_edge"), F.count(F.when(styled, 1)).alias("styled"))
+    counts = counts.where(f"at_edge >= {SURE_PAGES} OR styled >= {RUNNING_PAGES}")
     if terms is not None:
         known = terms.where(F.col("term").isNotNull()).select(letters(without_number(look_alike("term"))).alias("key")).distinct()
         counts = counts.join(known, "key", "left_anti")
-    sizes = rows.groupBy("source").agg(F.countDistinct("page_id").alias("pages"))
-    models = counts.where(f"at_edge > inside AND (at_edge >= {SURE_PAGES} OR styled >= {RUNNING_PAGES})").join(sizes, "source")
-    models = models.where(F.col("at_edge") >= F.col("pages") * RUNNING_SHARE).select("source", F.col("key").alias("model"))
+    sizes = rows.where("pos = 1").groupBy("source").agg(F.count(F.lit(1)).alias("pages"))
+    counts = counts.join(sizes, "source").where(F.col("at_edge") >= F.col("pages") * RUNNING_SHARE)
+    inside = keyed.where(~is_edge).select("source", "key").join(counts.select("source", "key"), ["source", "key"]).groupBy("source", "key").agg(F.count(F.lit(1)).alias("inside"))
+    models = counts.join(inside, ["source", "key"], "left").where("at_edge > coalesce(inside, 0)").select("source", F.col("key").alias("model"))
     edges = keyed.where(is_edge).select("source", "page_no", "page_id", "line_no", "shape", "key")
     limit = F.greatest(F.lit(1), F.floor(F.length("model") * DAMAGE).cast("int"))
     close = F.levenshtein("key", "model") <= limit
     long_enough = F.length("key") * 2 > F.length("model")
     running = edges.where("length(key) >= 2").join(models, "source").where(long_enough & close)
-    running = running.select("page_id", "line_no").distinct().withColumn("noise", F.lit("running"))
+    running = cut(running.select("page_id", "line_no").distinct().withColumn("noise", F.lit("running")))
 
     alone = F.when(F.length("shape") <= 14, F.col("shape"))
     joined = F.coalesce(F.nullif(F.regexp_extract("shape", rf"^{BESIDE} +\p{{L}}.{{3}}", 1), F.lit("")), F.nullif(F.regexp_extract("shape", rf"\p{{L}}[^ ]* +{BESIDE}$", 1), F.lit("")))
@@ -191,12 +192,15 @@ def body_lines(rows: DataFrame, edge: DataFrame) -> DataFrame:
 
 def shaped(text: str, table: dict[int, str]) -> str:
     """Python's counterpart of ``look_alike`` for one text."""
+    if text.isascii():
+        return text
     return unicodedata.normalize("NFC", INVISIBLE_PY.sub("", text).translate(table))
 
 
 INVISIBLE_PY = re.compile(r"[\p{Cf}͏ᅟᅠㅤﾠ︀-️]")
-EDGE_MARKS = re.compile(r"^[“„«‹(\[{¿¡\"'‘’「『]+|[.,;:!?…”“»›)\]}\"'’」』]+$")
+TOKEN = re.compile(r"(?<!\S)[“„«‹(\[{¿¡\"'‘’「『]*(\S+?)[.,;:!?…”“»›)\]}\"'’」』]*(?!\S)")
 PLAIN = re.compile(r"[\p{L}\p{M}\p{Nd}@$|!-]+$")
+LETTER = re.compile(r"\p{L}")
 HAN = re.compile(r"\p{Han}")
 ENDS_DIVIDED = re.compile(DIVIDED)
 
@@ -227,7 +231,7 @@ class Channel:
                 self.openings[p[:i] + "\0" + p[i + 1 :]].append((p, p[i]))
         self.lengths = sorted({len(p) for p in self.phrases})
         self.phrase_chars = frozenset("".join(self.phrases))
-        self.candidates = lru_cache(200_000)(self._candidates)
+        self.known: dict[str, tuple[tuple[str, float], ...]] = {}
 
     def __reduce__(self):  # workers build their own from the counts
         return Channel, self.given
@@ -264,43 +268,42 @@ class Channel:
         return -math.log((self.bigrams.get((a, b), 0) + 2 * single) / (seen + 2))
 
     def tokens(self, text: str) -> list[tuple[str, int, int]]:
-        out = []
-        for m in re.finditer(r"[^\s]+", text):
-            a, b = m.span()
-            head = EDGE_MARKS.match(text, a, b)
-            if head and head.end() < b and head.start() == a and head[0][0] in "“„«‹([{¿¡\"'‘’「『":
-                a = head.end()
-            tail = re.search(r"[.,;:!?…”“»›)\]}\"'’」』]+$", text, pos=a, endpos=b)
-            if tail and tail.start() > a:
-                b = tail.start()
-            out.append((text[a:b], a, b))
-        return out
+        """(word, start, end) between blanks, without the marks around it."""
+        return [(m[1], m.start(1), m.end(1)) for m in TOKEN.finditer(text)]
+
+    def options(self, token: str) -> tuple[tuple[str, float], ...]:
+        """Candidates of a token; none for names, codes, numbers and other scripts."""
+        found = self.known.get(token)
+        if found is None:
+            found = ()
+            if len(token) > 1 and PLAIN.match(token) and LETTER.search(token) and not HAN.search(token):
+                found = self._candidates(token)
+            if len(self.known) > 200_000:
+                self.known.clear()
+            self.known[token] = found
+        return found
 
     def decode(self, text: str, first_is_part: bool, last_is_part: bool) -> list[tuple[int, int, str]]:
         """(start, end, word) of the words of a shaped line that were misread, by Viterbi."""
         toks = self.tokens(text)
         if not toks:
             return []
+        found = [self.options(t) for t, _, _ in toks]
+        if first_is_part:
+            found[0] = ()
+        if last_is_part:
+            found[-1] = ()
+        if not any(o and (len(o) > 1 or o[0][0] != t.lower()) for o, (t, _, _) in zip(found, toks)):
+            return []
         lattice: list[list[tuple[str, float]]] = []
-        wrong = False
-        for i, (t, _, _) in enumerate(toks):
-            part = (i == 0 and first_is_part) or (i == len(toks) - 1 and last_is_part)
-            options: tuple = ()
-            if not part and len(t) > 1 and PLAIN.match(t) and re.search(r"\p{L}", t) and not HAN.search(t):
-                options = self.candidates(t)
+        for options, (t, _, _) in zip(found, toks):
             if not options:
                 lattice.append([("", 0.0)])  # a name, code, number or part of a word: stays as it is
-                continue
-            if options[0][0] != t.lower():
-                wrong = True
+            elif options[0][0] != t.lower():
                 passed = 24.0 if re.search(r"[@$|\d]", t) else 13.0 if t[0].isupper() and t[1:].islower() else 20.0
                 lattice.append([*options, ("", passed)])
             else:
-                wrong = wrong or len(options) > 1
                 lattice.append(list(options))
-        if not wrong:
-            return []
-        best: list[tuple[float, int]] = [(c, -1) for _, c in lattice[0]]
         back = [[-1] * len(lattice[0])]
         scores = [c for _, c in lattice[0]]
         for i in range(1, len(lattice)):
@@ -311,7 +314,6 @@ class Channel:
                 link.append(j)
             scores = new
             back.append(link)
-        del best
         k = min(range(len(scores)), key=scores.__getitem__)
         out = []
         for i in range(len(lattice) - 1, -1, -1):
@@ -329,6 +331,8 @@ class Channel:
         left = before[-reach:] if before and HAN.search(before[-2:]) else ""
         whole = left + text + (after[:reach] if after and HAN.search(after[:2]) else "")
         n = len(whole)
+        if self._covered(whole, len(left), len(left) + len(text)):
+            return []
         score, link = [0.0] + [1e9] * n, [(0, -1, "")] * (n + 1)
         for i in range(n):
             s = score[i] + (7.0 if HAN.match(whole[i]) else 0.5)
@@ -364,6 +368,15 @@ class Channel:
             at = i
         return out[::-1]
 
+    def _covered(self, whole: str, lo: int, hi: int) -> bool:
+        """Whether phrases as they stand cover every Han character of whole[lo:hi]."""
+        free = {i for i in range(lo, hi) if HAN.match(whole[i])}
+        for i in range(len(whole)):
+            for k in self.lengths:
+                if whole[i : i + k] in self.phrases:
+                    free.difference_update(range(i, i + k))
+        return not free
+
     def misread(self, text: str, before: str | None, after: str | None) -> tuple[str, list[tuple[int, int, str]]]:
         """(shaped line, corrections) of a body line."""
         part_first = bool(before and ENDS_DIVIDED.search(before))
@@ -403,8 +416,8 @@ def _statistics(words: dict[str, frozenset[str]]):
                         last = low
                         continue
                     last = ""
-                    if len(low) > 3 and PLAIN.match(t) and not HAN.search(t):
-                        options = channel.candidates(t)
+                    if len(low) > 3:
+                        options = channel.options(t)
                         if len(options) == 1:  # only one word can have stood there: what was confused is plain
                             word = options[0][0]
                             i = 0
