@@ -28,6 +28,8 @@ import regex as re
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quirework.session import cut
+
 MIN_SHARE = 1 / 5000
 MIN_COUNT = 5
 
@@ -85,11 +87,11 @@ def corpus_evidence(docs: DataFrame) -> tuple[frozenset[str], frozenset[str]]:
     counts = docs.select("text", "line_mode").mapInPandas(evidence, "kind string, word string, n bigint")
     counts = counts.groupBy("kind", "word").agg(F.sum("n").alias("n"))
     wide = counts.groupBy("word").agg(*[F.coalesce(F.sum(F.when(F.col("kind") == k, F.col("n"))), F.lit(0)).alias(k) for k in ("abbreviation", "opener", "inside")])
-    totals = wide.agg(F.coalesce(F.sum("abbreviation"), F.lit(0)).alias("a"), F.coalesce(F.sum("opener"), F.lit(0)).alias("o"))
-    kept = wide.crossJoin(F.broadcast(totals))  # totals is one row
-    a = (F.col("abbreviation") >= MIN_COUNT) & (F.col("abbreviation") >= F.col("a") * MIN_SHARE)
-    o = (F.col("opener") >= MIN_COUNT) & (F.col("opener") >= F.col("o") * MIN_SHARE) & (F.col("opener") > F.col("inside"))
-    rows = kept.where(a | o).select("word", a.alias("is_a"), o.alias("is_o")).collect()  # at most 2 / MIN_SHARE rows
+    wide = cut(wide)
+    totals = wide.agg(F.coalesce(F.sum("abbreviation"), F.lit(0)).alias("a"), F.coalesce(F.sum("opener"), F.lit(0)).alias("o")).first()
+    a = (F.col("abbreviation") >= MIN_COUNT) & (F.col("abbreviation") >= totals["a"] * MIN_SHARE)
+    o = (F.col("opener") >= MIN_COUNT) & (F.col("opener") >= totals["o"] * MIN_SHARE) & (F.col("opener") > F.col("inside"))
+    rows = wide.where(a | o).select("word", a.alias("is_a"), o.alias("is_o")).collect()  # at most 2 / MIN_SHARE rows
     return frozenset(r["word"] for r in rows if r["is_a"]), frozenset(r["word"] for r in rows if r["is_o"])
 
 
