@@ -304,8 +304,10 @@ def q22_fold_state(spark, d):
 MODES = "modes AS (SELECT unnest([true, true, false, false]) AS resume, unnest([true, false, true, false]) AS overwrite)"
 
 
-def _modes(spark):
-    return spark.createDataFrame([(True, True), (True, False), (False, True), (False, False)], "resume boolean, overwrite boolean")
+def _in_every_mode(df: DataFrame) -> DataFrame:
+    """Each row with all four settings of ``resume`` and ``overwrite``."""
+    modes = F.array(*[F.struct(F.lit(r).alias("resume"), F.lit(o).alias("overwrite")) for r in (True, False) for o in (True, False)])
+    return df.select("*", F.inline(modes))
 
 
 @query(f"""WITH {MODES}, {NOW},
@@ -319,7 +321,7 @@ d AS (SELECT *, CASE WHEN e AND r AND NOT k AND v THEN 1 WHEN e AND r AND NOT k
 SELECT r AS resume, o AS overwrite, rule, CASE WHEN rule IN (1, 3) THEN 'skipped' WHEN rule = 7 THEN 'run' ELSE 'failed' END AS outcome, count(*) AS n FROM d GROUP BY ALL""")
 def q23_ocr_plan(spark, d):
     t = read_table(spark, d, "ocr_tasks").withColumn("output_json", paths.canonical_path("output_json"))
-    tasks = t.select("source", "output_json").distinct().crossJoin(F.broadcast(_modes(spark)))  # four modes
+    tasks = _in_every_mode(t.select("source", "output_json").distinct())
     valid = F.coalesce(F.expr("schema_of_variant(try_parse_json(payload)) LIKE 'OBJECT%'"), F.lit(False))
     existing = t.where("payload IS NOT NULL").groupBy(F.col("output_json").alias("path")).agg(F.min(valid).alias("valid"))
     planned = planning.plan_ocr(tasks, latest(spark, d), existing, "resume", "overwrite")
@@ -331,7 +333,7 @@ FACTS = "job_row_id % 3 <> 0 AS e, job_row_id % 5 <> 0 AS v, run_no > 4 AS k, (s
 
 def _facts(spark, d, stage):
     rows = read_table(spark, d, "jobs").where(F.col("stage") == stage).selectExpr(*[x.strip() for x in FACTS.split(", ")])
-    return rows.crossJoin(F.broadcast(_modes(spark)))  # four modes
+    return _in_every_mode(rows)
 
 
 @query(f"""WITH {MODES}, x AS (SELECT {FACTS}, m.resume AS r, m.overwrite AS o FROM jobs, modes m WHERE stage = 'render'),
@@ -469,8 +471,8 @@ def q33_folder_summary(spark, d):
 @query("SELECT job_row_id FROM jobs WHERE loaded_at < (SELECT max(loaded_at) FROM jobs) - INTERVAL 10 DAYS")
 def q34_expired(spark, d):
     jobs = read_table(spark, d, "jobs").select("job_row_id", "loaded_at")
-    newest = jobs.agg(F.max("loaded_at").alias("now"))  # one row
-    return progress.expired(jobs.crossJoin(F.broadcast(newest)), "loaded_at", F.col("now"), "10 DAYS").select("job_row_id")
+    newest = jobs.agg(F.max("loaded_at").cast("string").alias("now")).first()["now"]
+    return progress.expired(jobs, "loaded_at", F.lit(newest).cast("timestamp"), "10 DAYS").select("job_row_id")
 
 
 @query(f"SELECT DISTINCT regexp_replace(p, '/[^/]*$', '') AS dir FROM (SELECT {_canonical_sql('output_json')} AS p FROM ocr_tasks) WHERE suffix(p, '.json')")
@@ -503,3 +505,118 @@ def q38_small_scalars(spark, d):
     jobs = read_table(spark, d, "jobs")
     took = F.when(F.col("duration_s").isNotNull(), names.duration(F.col("duration_s") * 1000))
     return jobs.select("job_row_id", took.alias("took"), names.human_bytes("source_size").alias("size"), names.local_time("loaded_at").alias("local"))
+
+
+# ------------------------------------------------------------ placement, folders, profiles
+
+_RECT = "trunc(polygon[1][1])::BIGINT AS x0, trunc(polygon[1][2])::BIGINT + 5 AS y0, trunc(polygon[3][1])::BIGINT AS x1, trunc(polygon[3][2])::BIGINT + 5 AS y1"
+
+
+@query(f"""WITH l AS (SELECT line_id, length(text) AS n, {_RECT} FROM ocr_lines WHERE text IS NOT NULL AND polygon IS NOT NULL AND NOT regexp_matches(text, '{BLANK_RE}')),
+s AS (SELECT *, CASE WHEN x1 > x0 AND y1 > y0 THEN greatest(1.0::DOUBLE, least(100.0::DOUBLE, coalesce(list_filter(list_transform(range(0, 201), lambda i: (y1 - y0) * 0.9::DOUBLE - i), lambda s: s <= 1 OR n * s <= x1 - x0)[1], 1.0::DOUBLE))) END AS font_size FROM l)
+SELECT line_id, x0, y0, x1, y1, font_size, y0 + 0.85::DOUBLE * font_size AS baseline, CASE WHEN font_size IS NULL THEN 'text rectangle has no area' END AS error FROM s""")
+def q39_text_placement(spark, d):
+    from quirework.operators import placement
+
+    lines = _lines(spark, d).where("text IS NOT NULL AND polygon IS NOT NULL").select(F.col("line_id").alias("line_no"), "page_id", "text", "polygon")
+    lines = lines.join(read_table(spark, d, "ocr_pages").select("page_id", "width"), "page_id")
+    plan = placement.placement(lines, ["page_id"], y_offset=5)
+    return plan.select(F.col("line_no").alias("line_id"), "x0", "y0", "x1", "y1", "font_size", "baseline", "error")
+
+
+_PAGE_FILES = "pf AS (SELECT DISTINCT regexp_replace(p, '/[^/]*$', '') AS dir, regexp_extract(p, '([^/]*)$', 1) AS name FROM (SELECT {0} AS p FROM (SELECT unnest(page_paths) AS u FROM render_results) WHERE u IS NOT NULL))".format(_canonical_sql("u"))
+
+
+def _page_files(spark, d):
+    found = read_table(spark, d, "render_results").select(F.explode("page_paths").alias("u")).where("u IS NOT NULL").select(paths.canonical_path("u").alias("path")).distinct()
+    return found.select("path", paths.parent_dir("path").alias("dir"), paths.base_name("path").alias("name"))
+
+
+@query(f"""WITH {_PAGE_FILES}, n AS (SELECT dir, try_cast(regexp_extract(name, 'page_([0-9]+)', 1, 'i') AS BIGINT) AS page FROM pf WHERE regexp_matches(lower(name), '\\.(png|jpg|jpeg|bmp|tif|tiff)$')),
+c AS (SELECT dir, page, count(*) AS n FROM n WHERE page IS NOT NULL GROUP BY ALL), p AS (SELECT dir, count(*)::INT AS n_pages, max(n) AS most, min(page) AS first, max(page) AS last_page, list(page) AS have FROM c GROUP BY 1),
+g AS (SELECT *, list_filter(range(1, greatest(last_page, 1) + 1), lambda x: NOT list_contains(have, x)) AS gaps FROM p)
+SELECT dir, CASE WHEN first < 1 THEN 'invalid' WHEN most > 1 THEN 'duplicate' WHEN len(gaps) > 0 THEN 'gap' ELSE 'ok' END AS status, n_pages, last_page, array_to_string(gaps[1:10], ', ') || CASE WHEN len(gaps) > 10 THEN '...' ELSE '' END AS missing FROM g""")
+def q40_image_sequences(spark, d):
+    from quirework.operators import folders
+
+    return folders.image_sequences(_page_files(spark, d))
+
+
+@query(f"""WITH {RESULTS}, j AS (SELECT DISTINCT '/scan/work/' || dir || '/ocr' AS dir FROM results), {_PAGE_FILES}, i AS (SELECT DISTINCT dir FROM pf)
+SELECT j.dir, replace(j.dir, '/ocr', '/pages') AS images, CASE WHEN i.dir IS NOT NULL THEN 'build' ELSE 'no images' END AS state FROM j LEFT JOIN i ON i.dir = replace(j.dir, '/ocr', '/pages')""")
+def q41_books_to_build(spark, d):
+    from quirework.operators import folders
+
+    json_dirs = _results(spark, d).select(F.concat(F.lit("/scan/work/"), "dir", F.lit("/ocr")).alias("dir")).distinct()
+    images = _page_files(spark, d).select(F.regexp_replace("dir", "/pages$", "/ocr").alias("dir"))
+    rows = folders.books_to_build(json_dirs, images, json_dirs.where("false"), "/scan/work", "/scan/work")
+    return rows.select("dir", F.replace("images", F.lit("/ocr"), F.lit("/pages")).alias("images"), "state")
+
+
+@query(f"""WITH {_PAGE_FILES}, r AS (SELECT DISTINCT source_path, page_no FROM page_results),
+b AS (SELECT regexp_replace(regexp_replace(dir, '/pages$', ''), '^.*/', '') AS book, name FROM pf), k AS (SELECT DISTINCT book, name FROM b),
+w AS (SELECT source_path, page_no, regexp_replace(regexp_replace(source_path, '^.*/', ''), '\\.pdf$', '') AS book FROM r)
+SELECT source_path, page_no, k.name AS image FROM w LEFT JOIN k ON k.book = w.book AND k.name = printf('page_%05d.png', page_no)""")
+def q42_images_of_results(spark, d):
+    from quirework.operators import folders
+
+    book = F.regexp_replace(paths.base_name("source_path"), r"\.pdf$", "")
+    results = read_table(spark, d, "page_results").select("source_path", "page_no", book.alias("dir")).distinct()
+    images = _page_files(spark, d).select(paths.base_name(F.regexp_replace("dir", "/pages$", "")).alias("dir"), "name")
+    return folders.images_of_results(results, images).select("source_path", "page_no", "image")
+
+
+@query(f"""WITH {IMAGES}, {RESULTS}, s AS (SELECT dir, name, regexp_replace(name, '(.)\\.[^./]*$', '\\1') AS st FROM images)
+SELECT s.dir, s.name, min(r.name) AS result FROM s LEFT JOIN results r ON r.dir = s.dir AND starts_with(r.name, s.st) AND suffix(r.name, '_result.json') GROUP BY ALL""")
+def q43_result_by_stem(spark, d):
+    from quirework.operators import folders
+
+    return folders.result_by_stem(_images(spark, d), _results(spark, d))
+
+
+@query(f"WITH {IMAGES}, a AS (SELECT name, min(p) AS path FROM (SELECT regexp_extract(p, '([^/]*)$', 1) AS name, p FROM (SELECT {_canonical_sql('u')} AS p FROM (SELECT unnest(page_paths) AS u FROM render_results) WHERE u IS NOT NULL)) GROUP BY 1) SELECT DISTINCT i.name, a.path FROM images i LEFT JOIN a ON a.name = i.name")
+def q44_anywhere(spark, d):
+    from quirework.operators import folders
+
+    return folders.anywhere(_images(spark, d), _page_files(spark, d))
+
+
+@query("""WITH p AS (SELECT p_partkey, 'K' || (p_partkey % 50) || '_' || (p_size % 9) || CASE WHEN p_partkey % 7 = 0 THEN '' ELSE '_x' || (p_partkey % 4) END AS folder FROM part), s AS (SELECT *, str_split(folder, '_') AS a FROM p)
+SELECT p_partkey, CASE WHEN len(a) >= 3 THEN printf('%04d', ltrim(a[1], 'K')::INT) || '_' || printf('%03d', a[2]::INT) || '_' || a[3] || '_' || printf('%02d', p_partkey) || '.json' END AS by_folder, CASE WHEN regexp_matches(a[len(a)], '^[0-9]+$') THEN folder || '.json' END AS by_stem FROM s""")
+def q45_expected_names(spark, d):
+    from quirework.operators import folders
+
+    folder = F.concat(F.lit("K"), F.col("p_partkey") % 50, F.lit("_"), F.col("p_size") % 9, F.when(F.col("p_partkey") % 7 == 0, "").otherwise(F.concat(F.lit("_x"), F.col("p_partkey") % 4)))
+    part = read_table(spark, d, "part").select("p_partkey", folder.alias("folder"))
+    return part.select("p_partkey", folders.expected_name_by_folder("folder", F.col("p_partkey")).alias("by_folder"), folders.expected_name_by_stem(F.concat("folder", F.lit(".png"))).alias("by_stem"))
+
+
+@query("SELECT worker, job_row_id FROM (SELECT *, row_number() OVER (PARTITION BY worker ORDER BY job_row_id DESC) AS rn FROM jobs) WHERE rn <= 3")
+def q46_last_lines(spark, d):
+    from quirework.operators import folders
+
+    return folders.last_lines(read_table(spark, d, "jobs").select("worker", "job_row_id"), "worker", "job_row_id")
+
+
+@query("""SELECT doc_id, '{"alpha":false,"dpi":' || (72 + doc_id % 100) || ',"format":"png","kind":"pdf_render","schema":1}' AS render,
+ '{"expected_page_count":' || (1 + doc_id % 9) || ',"fontname":"china-s","images_dir":"/w/' || doc_id || '","kind":"searchable_pdf","layout":"legacy-v7","ocr_json_dir":"/o","schema":2,"y_offset":0.0}' AS document,
+ '{"device":"cpu","engine":null,"kind":"paddlex_ocr","pipeline":{"path":"/p.yaml","sha256":"' || sha256(doc_id::VARCHAR) || '","size":' || doc_id || ',"type":"file"},"predict":{"use_doc_orientation_classify":false,"use_doc_unwarping":true,"use_textline_orientation":false},"schema":2,"use_hpip":null}' AS ocr FROM documents""")
+def q47_profiles(spark, d):
+    from quirework.functions import profiles
+
+    i = F.col("doc_id")
+    return read_table(spark, d, "documents").select(
+        "doc_id", profiles.render_profile(72 + i % 100).alias("render"), profiles.searchable_profile(F.concat(F.lit("/w/"), i), "/o", 1 + i % 9).alias("document"),
+        profiles.ocr_profile("/p.yaml", i, F.sha2(i.cast("string"), 256), "cpu", unwarping=True).alias("ocr"),
+    )
+
+
+@query("""SELECT coalesce(e.source, b.source) AS source, CASE WHEN b.n IS NULL THEN 'missing' WHEN b.n = 0 THEN 'empty' ELSE 'has ' || b.pages || ' pages, not ' || e.pages END AS error
+FROM (SELECT source_path AS source, count(*) AS pages FROM ocr_pages GROUP BY 1) e LEFT JOIN (SELECT source_path AS source, count(DISTINCT page_no) AS pages, coalesce(sum(strlen(page_json)), 0) AS n FROM page_results GROUP BY 1) b ON b.source = e.source
+WHERE b.n IS NULL OR b.n = 0 OR b.pages <> e.pages""")
+def q48_checked_documents(spark, d):
+    from quirework.operators import placement
+
+    expected = read_table(spark, d, "ocr_pages").groupBy(F.col("source_path").alias("source")).agg(F.count(F.lit(1)).alias("pages"))
+    built = read_table(spark, d, "page_results").groupBy(F.col("source_path").alias("source")).agg(F.countDistinct("page_no").alias("pages"), F.coalesce(F.sum(F.octet_length("page_json")), F.lit(0)).alias("n_bytes")).withColumn("is_symlink", F.lit(False))
+    return placement.checked_documents(built, expected, "source")
