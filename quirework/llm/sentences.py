@@ -290,7 +290,7 @@ class Splitter:
             return False
         following = NEXT_WORD.match(text, at, hi)
         if len(w) == 1 and w.isupper():  # an initial, unless what follows is a word that also stands uncapitalised
-            if spaced or not following:
+            if spaced or not following or (len(following[0]) == 1 and text[following.end() : following.end() + 1] == "."):
                 return False
             return bool(re.search(rf"(?<!\p{{L}}){re.escape(following[0].lower())}(?!\p{{L}})", text))
         if self.doc_abbreviations is None:
