@@ -1,4 +1,4 @@
-"""``python -m quirework.cli``: scan, report, jobs, retry-plan, compact, clean.
+"""``python -m quirework.cli``: scan, status, report, jobs, retry-plan, ocr, doctor, compact, clean.
 
 Exit codes: 0 well, 1 some item failed, 2 the call was wrong.
 """
@@ -82,6 +82,48 @@ def retry_plan(spark, args) -> int:
     return 0 if set(counts) <= {"eligible"} else 1
 
 
+def status(spark, args) -> int:
+    """Counts per status; the job table is only read."""
+    from quirework.operators.reporting import status_counts
+
+    print(json.dumps({r["status"]: r["n"] for r in status_counts(_jobs(spark, args.jobs)).orderBy("status").collect()}, ensure_ascii=False))
+    return 0
+
+
+def ocr(spark, args) -> int:
+    """Recognise a folder of images with the engine ``module:Class``."""
+    import importlib
+
+    from quirework.adapters import pipeline_identity, predict_flags
+    from quirework.plans.project import recognise_folder, tally
+    from quirework.safety import canonical_profile
+
+    module, _, name = args.engine.partition(":")
+    engine = getattr(importlib.import_module(module), name)()
+    profile = canonical_profile({"schema": 2, "kind": "paddlex_ocr", "pipeline": pipeline_identity(args.pipeline or args.engine), "device": args.device, "engine": None, "use_hpip": None, "predict": predict_flags()})
+    outcomes = recognise_folder(spark, args.images, args.out, args.events, engine, profile, args.device, not args.no_resume, args.overwrite, args.workers).cache()
+    counts = tally(outcomes)
+    print(json.dumps(counts))
+    return 1 if counts["failed"] else 0
+
+
+def doctor(spark, args) -> int:
+    """What a run would find here: versions, processors, free room, optional libraries."""
+    import importlib.util
+    import os
+    import platform
+    import shutil
+
+    import pyspark
+
+    room = shutil.disk_usage(args.path)
+    print(json.dumps({
+        "python": platform.python_version(), "spark": pyspark.__version__, "cpus": os.cpu_count(), "path": os.path.abspath(args.path), "free_bytes": room.free, "writable": os.access(args.path, os.W_OK),
+        "libraries": {m: importlib.util.find_spec(m) is not None for m in ("pyarrow", "pandas", "yaml", "fitz", "PIL")},
+    }, indent=2))
+    return 0
+
+
 def compact(spark, args) -> int:
     from quirework.operators.compaction import compact_into, listings
 
@@ -119,6 +161,20 @@ def main(argv: list[str] | None = None) -> int:
     a.add_argument("--jobs")
     a.add_argument("--overwrite", action="store_true")
     a.add_argument("--limit", type=int, default=100)
+    a = sub.add_parser("status")
+    a.add_argument("jobs")
+    a = sub.add_parser("ocr")
+    a.add_argument("images")
+    a.add_argument("--out", required=True)
+    a.add_argument("--events", required=True)
+    a.add_argument("--engine", required=True, help="module:Class of a recogniser")
+    a.add_argument("--pipeline")
+    a.add_argument("--device", default="cpu")
+    a.add_argument("--workers", type=int)
+    a.add_argument("--no-resume", action="store_true")
+    a.add_argument("--overwrite", action="store_true")
+    a = sub.add_parser("doctor")
+    a.add_argument("path", nargs="?", default=".")
     a = sub.add_parser("compact")
     a.add_argument("tasks")
     a.add_argument("renders")
@@ -128,9 +184,9 @@ def main(argv: list[str] | None = None) -> int:
     a.add_argument("cache")
     a.add_argument("--execute", action="store_true")
     args = ap.parse_args(argv)
-    command = {"scan": scan, "report": report, "jobs": jobs, "retry-plan": retry_plan, "compact": compact, "clean": clean}[args.command]
+    command = {"scan": scan, "report": report, "jobs": jobs, "retry-plan": retry_plan, "status": status, "ocr": ocr, "doctor": doctor, "compact": compact, "clean": clean}[args.command]
     try:
-        return command(None if args.command == "clean" else local_session(), args)
+        return command(None if args.command in ("clean", "doctor") else local_session(), args)
     except (ValueError, OSError) as e:
         print(f"{type(e).__name__}: {e}", file=sys.stderr)
         return 2

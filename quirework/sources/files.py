@@ -85,7 +85,7 @@ def fingerprints(files: DataFrame) -> DataFrame:
 
 def read_page_json(spark: SparkSession, path: str) -> DataFrame:
     """(path, name, json): one row per file, the text as it is."""
-    raw = spark.read.text(path, wholetext=True)
+    raw = spark.read.option("recursiveFileLookup", True).text(path, wholetext=True)
     return raw.select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_name").alias("name"), F.col("value").alias("json"))
 
 
