@@ -460,7 +460,7 @@ def corrections(body: DataFrame, channel: Channel) -> DataFrame:
                         old = shape[a:b]
                         shape = shape[:a] + (word[:1].upper() + word[1:] if old[:1].isupper() else word) + shape[b:]
                     out.append((page, line, shape))
-            yield pd.DataFrame(out, columns=["page_id", "line_no", "corrected"]).astype({"page_id": "int64", "line_no": "int32"})
+            yield pd.DataFrame(out, columns=["page_id", "line_no", "corrected"]).astype({"page_id": "Int64", "line_no": "Int32"})
 
     return body.select("page_id", "line_no", "text", "before", "after").mapInPandas(run, "page_id bigint, line_no int, corrected string")
 

@@ -31,6 +31,8 @@ from pyspark.sql import functions as F
 from quirework.session import cut
 
 MIN_SHARE = 1 / 5000
+#: Quotations open at once; an older one that is still open then never closes.
+DEEPEST = 64
 MIN_COUNT = 5
 
 # Common abbreviations, without their last period.
@@ -105,6 +107,7 @@ class Splitter:
         if not text or text.isspace():
             return []
         self.doc_abbreviations: set[str] | None = None
+        self.seen: dict[str, bool] = {}
         self.text = text
         out: list[tuple[int, int]] = []
         at = 0
@@ -134,6 +137,8 @@ class Splitter:
                 spans.append((begin, m.start()))
             elif c in PAIR:
                 stack.append((c, m.start()))
+                if len(stack) > DEEPEST:
+                    del stack[0]
         return spans
 
     def _paragraph(self, lo: int, hi: int, out: list[tuple[int, int]]) -> None:
@@ -292,7 +297,7 @@ class Splitter:
         if len(w) == 1 and w.isupper():  # an initial, unless what follows is a word that also stands uncapitalised
             if spaced or not following or (len(following[0]) == 1 and text[following.end() : following.end() + 1] == "."):
                 return False
-            return bool(re.search(rf"(?<!\p{{L}}){re.escape(following[0].lower())}(?!\p{{L}})", text))
+            return self._uncapitalised(following[0].lower())
         if self.doc_abbreviations is None:
             self._from_document()
         if low in EITHER or low in self.abbreviations or low in self.doc_abbreviations:
@@ -303,6 +308,12 @@ class Splitter:
             return self._opener(text, at, hi)
         return True
 
+    def _uncapitalised(self, word: str) -> bool:
+        """Whether the document has the word in small letters; asked of it once."""
+        if word not in self.seen:
+            self.seen[word] = bool(re.search(rf"(?<!\p{{L}}){re.escape(word)}(?!\p{{L}})", self.text))
+        return self.seen[word]
+
     def _unit(self, w: str, start: int, begin: int) -> bool:
         """Whether the short word before the period is a unit behind a number, as in ``in 30 s.``"""
         at = begin - len(w)
@@ -341,6 +352,6 @@ def sentences(docs: DataFrame, abbreviations: frozenset[str] | None = None, open
                     ids.append(doc_id)
                     starts.append(a)
                     ends.append(b)
-            yield pd.DataFrame({"doc_id": pd.Series(ids, dtype="int64"), "start_pos": pd.Series(starts, dtype="int64"), "end_pos": pd.Series(ends, dtype="int64")})
+            yield pd.DataFrame({"doc_id": pd.array(ids, dtype="Int64"), "start_pos": pd.Series(starts, dtype="int64"), "end_pos": pd.Series(ends, dtype="int64")})
 
     return docs.select("doc_id", "text", "line_mode").where(F.col("text").isNotNull()).mapInPandas(run, "doc_id bigint, start_pos bigint, end_pos bigint")

@@ -97,3 +97,10 @@ def test_roman_numerals(spark, n, want):
     df = spark.createDataFrame([(n,)], "n int").select(noise._roman(noise.F.col("n")).alias("r"))
     df = df.select("r", noise._roman_value(noise.F.col("r")).alias("v"))
     assert df.first()["r"] == want and (want is None or df.first()["v"] == n)
+
+
+def test_lines_without_page_or_number(spark):
+    lines, pages, words = tables(spark, {"b": BOOK})
+    odd = lines.limit(3).selectExpr("line_id + 1000 AS line_id", "CAST(NULL AS BIGINT) AS page_id", "source_path", "CAST(NULL AS INT) AS line_no", "'the rnorning lamps' AS text", "polygon", "score", "loaded_at", "source", "pos")
+    got = noise.noise(lines.unionByName(odd), pages, words).collect()
+    assert (None, None, "misread") in {tuple(r) for r in got} and (6, 5, "misread") in {tuple(r) for r in got}

@@ -69,7 +69,7 @@ def test_sentences_cover_everything_but_blanks(text, hard):
 
 
 def test_operator(spark):
-    rows = [(1, "One. Two.", "en", None), (2, None, None, "hard"), (3, "", "en", "hard"), (4, " \n ", "en", "wrapped"), (5, "a\nb", None, "hard"), (6, "x. Y " * 20_000, "en", "wrapped"), (7, "One. Two.", "en", None)]
+    rows = [(1, "One. Two.", "en", None), (2, None, None, "hard"), (3, "", "en", "hard"), (4, " \n ", "en", "wrapped"), (5, "a\nb", None, "hard"), (6, "x. Y " * 20_000, "en", "wrapped"), (7, "One. Two.", "en", None), (None, None, None, None)]
     df = spark.createDataFrame([(i, t, lang, m, 1) for i, t, lang, m in rows], "doc_id bigint, text string, lang string, line_mode string, start_pos int")
     got = {}
     for r in sentences(df).collect():
@@ -82,3 +82,17 @@ def test_evidence_is_counted_over_the_corpus(spark):
     df = spark.createDataFrame([(f"Siehe Abb. {i} und blz. vier.\n\nZebra kam.", "wrapped") for i in range(20)], "text string, line_mode string")
     abbreviations, openers = corpus_evidence(df)
     assert {"abb", "blz"} <= abbreviations and "Zebra" in openers
+
+
+@pytest.mark.parametrize("text", ["“" * 60_000, "“a.” " * 20_000, "Plan B. Then. " * 20_000, "J. R. " * 20_000, ". " * 50_000, "a" * 200_000, "（" * 50_000 + "。", "Dr. " * 30_000])
+def test_long_texts_take_their_time_once(text):
+    import time
+
+    began = time.process_time()
+    Splitter().split(text, False)
+    assert time.process_time() - began < 20
+
+
+def test_a_document_without_id(spark):
+    df = spark.createDataFrame([(None, "One. Two.", "wrapped"), (3, "One.", "wrapped")], "doc_id bigint, text string, line_mode string")
+    assert sorted((str(r["doc_id"]), r["start_pos"]) for r in sentences(df).collect()) == [("3", 0), ("None", 0), ("None", 5)]
