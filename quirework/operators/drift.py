@@ -89,9 +89,9 @@ def versions(fields: DataFrame) -> DataFrame:
 
     ``version`` counts the schemas of the feed in the order of their first file.
     """
-    part = F.xxhash64("field_name", "spellings", "types")
+    part = F.when(F.col("field_name").isNotNull(), F.concat_ws(":", "field_name", F.array_join("spellings", ","), F.array_join("types", ",")))
     marks = fields.groupBy("feed", "file_no").agg(
-        F.sha2(F.concat_ws("|", F.sort_array(F.collect_list(F.hex(part)))), 256).alias("fingerprint"),
+        F.sha2(F.array_join(F.sort_array(F.collect_list(part)), "|"), 256).alias("fingerprint"),
         F.count("field_name").alias("n_fields"),
     )
     first = marks.groupBy("feed", "fingerprint").agg(F.min("file_no").alias("first_file"))

@@ -146,6 +146,10 @@ SELECT feed, file_no, field_name, 'added' AS change FROM w WHERE seq > 1 AND coa
 UNION ALL SELECT feed, nxt, field_name, 'removed' FROM w WHERE nxt IS NOT NULL AND coalesce(ns, 0) <> seq + 1
 UNION ALL SELECT feed, file_no, field_name, 'renamed' FROM w WHERE ps = seq - 1 AND sp <> psp
 UNION ALL SELECT feed, file_no, field_name, 'retyped' FROM w WHERE ps = seq - 1 AND nullif(ty, '') <> pty""",
+    "p3_versions": f"""WITH {_FIELDS}, m AS (SELECT f.feed, f.file_no, sha256(coalesce(array_to_string(list_sort(list(field_name || ':' || sp || ':' || coalesce(ty, '')) FILTER (field_name IS NOT NULL)), '|'), '')) AS fingerprint, count(field_name) AS n_fields
+  FROM files f LEFT JOIN ff ON ff.feed = f.feed AND ff.file_no = f.file_no GROUP BY ALL),
+v AS (SELECT feed, fingerprint, row_number() OVER (PARTITION BY feed ORDER BY min(file_no))::INT AS version FROM m GROUP BY feed, fingerprint)
+SELECT m.feed, m.file_no, v.version, m.fingerprint, m.n_fields FROM m JOIN v ON v.feed = m.feed AND v.fingerprint = m.fingerprint""",
     "p4_found": """WITH r AS (SELECT j.*, s.state FROM jobs j JOIN scan_runs s USING (run_no)),
 cur AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY source_path, stage ORDER BY run_no DESC, job_row_id DESC) AS rn FROM r WHERE state = 'open') WHERE rn = 1),
 com AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY source_path, stage ORDER BY run_no DESC, job_row_id DESC) AS rn FROM r WHERE state = 'success') WHERE rn = 1)
