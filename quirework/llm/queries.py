@@ -42,4 +42,24 @@ def p9_found(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (p5_found, p5_paragraphs, p6_found, p6_canonical, p7_ids, p7_round_trip, p8_packed, p9_found)}
 
-SQL: dict[str, str] = {}
+def _shape(c: str) -> str:
+    """SQL of a text's mapped form, composed."""
+    table = lookalikes.mapping()
+    invisible = lookalikes.INVISIBLE.replace(r"\\x{", r"\x{")
+    out = f"regexp_replace(regexp_replace({c}, '{invisible}', '', 'g'), '{lookalikes.BLANK}', ' ', 'g')"
+    for joined, letters in lookalikes.LIGATURES.items():
+        out = f"replace({out}, '{joined}', '{letters}')"
+    return f"nfc_normalize(trim(translate({out}, '{_quoted(table)}', '{_quoted(table.values())}'), ' '))"
+
+
+def _quoted(chars) -> str:
+    return "".join(chars).replace("'", "''")
+
+
+SQL: dict[str, str] = {
+    "p6_found": f"""WITH t AS (SELECT term_id, term, {_shape('term')} AS s FROM catalog_terms), x AS (SELECT DISTINCT text, {_shape('text')} AS s FROM ocr_lines WHERE text IS NOT NULL),
+m AS (SELECT text, term_id FROM x JOIN t ON t.s = x.s WHERE text <> term) SELECT DISTINCT l.page_id, l.line_no, m.term_id FROM ocr_lines l JOIN m ON m.text = l.text""",
+    "p6_canonical": f"""WITH v AS (SELECT value, bool_or(is_term) AS is_term FROM (SELECT text AS value, false AS is_term FROM ocr_lines UNION ALL SELECT term, true FROM catalog_terms) WHERE value IS NOT NULL GROUP BY 1),
+f AS (SELECT value, is_term, {_shape('value')} AS form FROM v), b AS (SELECT form, arg_min(value, {{'a': NOT is_term, 'b': length(value), 'c': encode(value)}}) AS canonical FROM f GROUP BY 1)
+SELECT l.line_id, l.page_id, l.line_no, l.text, b.canonical FROM ocr_lines l LEFT JOIN f ON f.value = l.text LEFT JOIN b ON b.form = f.form""",
+}
