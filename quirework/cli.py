@@ -95,12 +95,13 @@ def ocr(spark, args) -> int:
     import importlib
 
     from quirework.adapters import pipeline_identity, predict_flags
+    from quirework.functions.profiles import OCR_KIND
     from quirework.plans.project import recognise_folder, tally
     from quirework.safety import canonical_profile
 
     module, _, name = args.engine.partition(":")
     engine = getattr(importlib.import_module(module), name)()
-    profile = canonical_profile({"schema": 2, "kind": "paddlex_ocr", "pipeline": pipeline_identity(args.pipeline or args.engine), "device": args.device, "engine": None, "use_hpip": None, "predict": predict_flags()})
+    profile = canonical_profile({"schema": 2, "kind": OCR_KIND, "pipeline": pipeline_identity(args.pipeline or args.engine), "device": args.device, "engine": None, "use_hpip": None, "predict": predict_flags()})
     outcomes = recognise_folder(spark, args.images, args.out, args.events, engine, profile, args.device, not args.no_resume, args.overwrite, args.workers).cache()
     counts = tally(outcomes)
     print(json.dumps(counts))

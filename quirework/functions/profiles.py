@@ -9,6 +9,10 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Fixed values of stored profiles.
+OCR_KIND, RENDER_KIND, SEARCHABLE_KIND = "paddlex_ocr", "pdf_render", "searchable_pdf"
+LAYOUT, FONT = "legacy-v7", "china-s"
+
 KEEP_NULLS = {"ignoreNullFields": "false"}
 
 
@@ -22,7 +26,7 @@ def _json(**fields) -> Column:
 
 
 def render_profile(dpi) -> Column:
-    return _json(schema=1, kind="pdf_render", dpi=dpi, format="png", alpha=False)
+    return _json(schema=1, kind=RENDER_KIND, dpi=dpi, format="png", alpha=False)
 
 
 def ocr_profile(pipeline_path, pipeline_size, pipeline_sha256, device, engine=None, use_hpip=None, orientation=False, unwarping=False, textline=False) -> Column:
@@ -30,11 +34,11 @@ def ocr_profile(pipeline_path, pipeline_size, pipeline_sha256, device, engine=No
     pipeline = F.named_struct(F.lit("path"), _col(pipeline_path), F.lit("sha256"), _col(pipeline_sha256), F.lit("size"), _col(pipeline_size), F.lit("type"), F.lit("file"))
     predict = F.named_struct(F.lit("use_doc_orientation_classify"), _col(orientation), F.lit("use_doc_unwarping"), _col(unwarping), F.lit("use_textline_orientation"), _col(textline))
     null_text, null_flag = F.lit(None).cast("string"), F.lit(None).cast("boolean")
-    return _json(schema=2, kind="paddlex_ocr", pipeline=pipeline, device=F.coalesce(_col(device).cast("string"), F.lit("auto")), engine=null_text if engine is None else engine, use_hpip=null_flag if use_hpip is None else use_hpip, predict=predict)
+    return _json(schema=2, kind=OCR_KIND, pipeline=pipeline, device=F.coalesce(_col(device).cast("string"), F.lit("auto")), engine=null_text if engine is None else engine, use_hpip=null_flag if use_hpip is None else use_hpip, predict=predict)
 
 
-def searchable_profile(images_dir, ocr_json_dir, expected_page_count, y_offset: float = 0.0, fontname: str = "china-s") -> Column:
-    return _json(schema=2, kind="searchable_pdf", fontname=fontname, y_offset=float(y_offset), layout="legacy-v7", images_dir=images_dir, ocr_json_dir=ocr_json_dir, expected_page_count=expected_page_count)
+def searchable_profile(images_dir, ocr_json_dir, expected_page_count, y_offset: float = 0.0, fontname: str = FONT) -> Column:
+    return _json(schema=2, kind=SEARCHABLE_KIND, fontname=fontname, y_offset=float(y_offset), layout=LAYOUT, images_dir=images_dir, ocr_json_dir=ocr_json_dir, expected_page_count=expected_page_count)
 
 
 def canonical(profile: Column | str) -> Column:

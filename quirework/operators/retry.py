@@ -9,9 +9,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quirework.functions.paths import is_within, parent_dir
 from quirework.functions.names import result_name
-from quirework.functions.paths import base_name
+from quirework.functions.paths import ancestors, base_name, is_within, parent_dir
+from quirework.functions.profiles import LAYOUT, OCR_KIND, RENDER_KIND, SEARCHABLE_KIND
 
 EXISTS = "the retry target is there already"
 PREDICT = ("use_doc_orientation_classify", "use_doc_unwarping", "use_textline_orientation")
@@ -32,7 +32,7 @@ def profile_reason() -> Column:
 
     device = text("device")
     ocr = first(
-        ((whole("schema") == 2) & (text("kind") == "paddlex_ocr"), "unsupported recognition profile"),
+        ((whole("schema") == 2) & (text("kind") == OCR_KIND), "unsupported recognition profile"),
         (kind("pipeline").startswith("OBJECT"), "no pipeline identity"),
         (text("pipeline.type") == "file", "the pipeline is no local file"),
         ((kind("pipeline.path") == "STRING") & (text("pipeline.path") != ""), "no pipeline path"),
@@ -49,15 +49,15 @@ def profile_reason() -> Column:
     )
     render = first(
         (exact(keys("$"), ("schema", "kind", "dpi", "format", "alpha")), "wrong set of render fields"),
-        ((whole("schema") == 1) & (text("kind") == "pdf_render"), "unsupported render profile"),
+        ((whole("schema") == 1) & (text("kind") == RENDER_KIND), "unsupported render profile"),
         (whole("dpi").between(36, 1200), "the resolution is out of range"),
         ((text("format") == "png") & (kind("alpha") == "BOOLEAN") & (text("alpha") == "false"), "unsupported image format"),
     )
     number = kind("y_offset").isin("BIGINT", "DOUBLE", "FLOAT") | kind("y_offset").startswith("DECIMAL")
     searchable = first(
         (exact(keys("$"), ("schema", "kind", "fontname", "y_offset", "layout", "images_dir", "ocr_json_dir", "expected_page_count")), "wrong set of document fields"),
-        ((whole("schema") == 2) & (text("kind") == "searchable_pdf"), "unsupported document profile"),
-        (text("layout") == "legacy-v7", "unsupported layout"),
+        ((whole("schema") == 2) & (text("kind") == SEARCHABLE_KIND), "unsupported document profile"),
+        (text("layout") == LAYOUT, "unsupported layout"),
         ((kind("fontname") == "STRING") & (text("fontname") != ""), "no font name"),
         (number, "the vertical offset is no number"),
         (whole("expected_page_count") >= 1, "no page count"),
@@ -85,8 +85,6 @@ def plan(failed: DataFrame, files: DataFrame, output_root: str, inputs: list[str
     links = facts.where("is_symlink").select(F.col("path").alias("_link"))
     source = facts.select(F.col("path").alias("source_path"), F.col("is_dir").alias("s_dir"), F.col("is_symlink").alias("s_link"), F.col("size").alias("s_size"), F.col("mtime_ns").alias("s_mtime"))
     target = facts.select(F.col("path").alias("intended_result_path"), F.col("is_dir").alias("t_dir"), F.col("is_symlink").alias("t_link"))
-    from quirework.functions.paths import ancestors
-
     linked = lambda c: failed.where(F.col(c).isNotNull()).select(c).distinct().withColumn("_link", F.explode(ancestors(c))).join(links, "_link", "left_semi").select(c).distinct()
     rows = with_profile(failed).join(source, "source_path", "left").join(target, "intended_result_path", "left")
     rows = rows.join(linked("source_path").withColumn("s_linked", F.lit(True)), "source_path", "left").join(linked("intended_result_path").withColumn("t_linked", F.lit(True)), "intended_result_path", "left")

@@ -4,10 +4,10 @@ import compare
 import pytest
 from conftest import SMALL
 
-from quirework.plans import data_problems, reference_queries
+from quirework.plans import data_problems, engine_queries
 
-QUERIES = reference_queries.QUERIES | data_problems.QUERIES
-SQL = reference_queries.SQL | data_problems.SQL
+QUERIES = engine_queries.QUERIES | data_problems.QUERIES
+SQL = engine_queries.SQL | data_problems.SQL
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quirework.operators import fold, matching, planning, reporting, retry, validate
-from quirework.plans.reference_queries import job_events
+from quirework.plans.engine_queries import job_events
 from quirework.schemas import EVENTS, JOBS, JOBS_LEGACY
 from quirework.streaming.jobs import apply_event, event_stream, fold_stream
 
