@@ -10,31 +10,15 @@ def allow_duplicate_keys(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
 
 
-def strict(json: str) -> str:
-    """SQL: the variant of exactly one complete JSON value, else null.
-
-    The parser alone accepts text after the value. Inside brackets such text
-    breaks the array or adds a second element.
-    """
-    wrapped = f"try_parse_json(concat('[', {json}, ']'))"
-    return f"CASE WHEN variant_get({wrapped}, '$[1]') IS NULL THEN variant_get({wrapped}, '$[0]') END"
-
-
-def kind(v: str) -> str:
-    """SQL: object, array, string, number, boolean or null (JSON null); SQL null for no value."""
-    s = f"schema_of_variant({v})"
+def kind_of_schema(s: str) -> str:
+    """SQL: object, array, string, number, boolean or null (JSON null) of a variant's schema text."""
     return (
-        f"CASE WHEN {v} IS NULL THEN NULL WHEN {s} LIKE 'OBJECT%' THEN 'object' WHEN {s} LIKE 'ARRAY%' THEN 'array' "
+        f"CASE WHEN {s} IS NULL THEN NULL WHEN {s} LIKE 'OBJECT%' THEN 'object' WHEN {s} LIKE 'ARRAY%' THEN 'array' "
         f"WHEN {s} = 'STRING' THEN 'string' WHEN {s} = 'BOOLEAN' THEN 'boolean' WHEN {s} = 'VOID' THEN 'null' "
         f"WHEN {s} IN ('BIGINT','DOUBLE','FLOAT') OR {s} LIKE 'DECIMAL%' THEN 'number' ELSE lower({s}) END"
     )
 
 
-def is_number(v: str) -> str:
-    s = f"schema_of_variant({v})"
-    return f"({s} IN ('BIGINT','DOUBLE','FLOAT') OR {s} LIKE 'DECIMAL%')"
-
-
 def elements(v: str) -> str:
     """SQL: array<variant> of an array; null for anything else."""
     return f"CASE WHEN schema_of_variant({v}) LIKE 'ARRAY%' THEN variant_get({v}, '$', 'array<variant>') END"

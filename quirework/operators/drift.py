@@ -48,7 +48,9 @@ def file_fields(records: DataFrame, field_names: DataFrame) -> DataFrame:
     """
     names = field_names.select("record_kind", "spelling", "field_name").distinct()
     rows = parsed(records.where("feed IS NOT NULL AND file_no IS NOT NULL").select("feed", "file_no", "record_kind", "raw_json"))
-    entry = f"transform(map_entries(try_variant_get(body, '$', 'map<string,variant>')), e -> struct(e.key AS spelling, {V.kind('e.value')} AS type))"
+    # the schema of a value is asked for once, for it walks the whole value
+    schemas = "transform(map_entries(try_variant_get(body, '$', 'map<string,variant>')), e -> struct(e.key AS k, schema_of_variant(e.value) AS s))"
+    entry = f"transform({schemas}, e -> struct(e.k AS spelling, {V.kind_of_schema('e.s')} AS type))"
     keys = rows.selectExpr("feed", "file_no", "record_kind", f"inline_outer({entry})").distinct()
     keys = keys.join(names, ["record_kind", "spelling"], "left").withColumn("field_name", F.coalesce("field_name", "spelling"))
     return keys.groupBy("feed", "file_no", "field_name").agg(
@@ -148,4 +150,6 @@ def unified(records: DataFrame, field_names: DataFrame, kind: str) -> DataFrame:
         else:
             cast.append(f"{one} AS `{field}`")
     extra = f"map_filter(transform_values(m, (k, x) -> to_json(x)), (k, x) -> k NOT IN ({listed or 'NULL'})) AS extra"
-    return staged.where("m IS NOT NULL").selectExpr(*sql, *cast, extra, f"{' + '.join(failed) or '0'} AS n_failed")
+    # a filter on m would be pushed below the parsing and repeat it; one on what is generated stays
+    fields = ", ".join([*cast, extra, f"{' + '.join(failed) or '0'} AS n_failed", "true AS _there"])
+    return staged.selectExpr(*sql, f"inline_outer(CASE WHEN m IS NOT NULL THEN array(struct({fields})) END)").where("_there").drop("_there")
