@@ -63,6 +63,16 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` over at least as many partitions as there are cores, for work in Python.
+
+    Few small files make few partitions; only then are the rows dealt out anew. A
+    table of many partitions is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df._jdf.queryExecution().toRdd().getNumPartitions() < cores else df
+
+
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """Read ``folder/name.parquet``."""
     return spark.read.parquet(os.path.join(folder, f"{name}.parquet"))
