@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quirework.functions.ranks import distributed_rank
-from quirework.session import cut, row_count_at_most
+from quirework.session import cut, row_count_at_most, spread
 
 MAX_SLOTS = 4_000_000
 RANK_ROWS = 200_000
@@ -108,8 +108,11 @@ def pack(sizes: DataFrame, capacity: int, max_slots: int = MAX_SLOTS) -> DataFra
         raise ValueError("a capacity is at least 1")
     spark: SparkSession = sizes.sparkSession
     parts = split(sizes, capacity)
-    # lengths lie between 0 and the capacity, so this many rows at most
-    counts = {r["n_tokens"]: r["n"] for r in parts.groupBy("n_tokens").agg(F.count(F.lit(1)).alias("n")).collect()}
+    # lengths lie between 0 and the capacity
+    lengths = row_count_at_most(parts.groupBy("n_tokens").agg(F.count(F.lit(1)).alias("n")), min(capacity + 1, max_slots))
+    if lengths is None:
+        raise ValueError(f"more than {max_slots} lengths")
+    counts = {r["n_tokens"]: r["n"] for r in lengths}
     table = slots(counts, capacity)
     if len(table) > max_slots:
         raise ValueError(f"{len(table)} pattern slots are more than {max_slots}")
@@ -141,7 +144,7 @@ def pack_all(docs: DataFrame, capacities: DataFrame, path: str | None = None) ->
     wanted = row_count_at_most(capacities.select("capacity_id", "capacity_tokens").distinct(), 1_000)
     if wanted is None:
         raise ValueError("more than 1,000 capacities")
-    sizes = cut(docs.select("doc_id", token_count("text", path).alias("n_tokens")))
+    sizes = cut(spread(docs.select("doc_id", "text")).select("doc_id", token_count("text", path).alias("n_tokens")))
     out = None
     for row in sorted(wanted):
         part = pack(sizes, row["capacity_tokens"]).select(F.lit(row["capacity_id"]).cast("int").alias("capacity_id"), "*")

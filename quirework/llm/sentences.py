@@ -28,7 +28,7 @@ import regex as re
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quirework.session import cut
+from quirework.session import cut, spread
 
 MIN_SHARE = 1 / 5000
 #: Quotations open at once; an older one that is still open then never closes.
@@ -86,7 +86,7 @@ def evidence(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def corpus_evidence(docs: DataFrame) -> tuple[frozenset[str], frozenset[str]]:
     """(abbreviations, openers) counted over all documents, each at most 1 / MIN_SHARE words."""
-    counts = docs.select("text", "line_mode").mapInPandas(evidence, "kind string, word string, n bigint")
+    counts = spread(docs.select("text", "line_mode")).mapInPandas(evidence, "kind string, word string, n bigint")
     counts = counts.groupBy("kind", "word").agg(F.sum("n").alias("n"))
     wide = counts.groupBy("word").agg(*[F.coalesce(F.sum(F.when(F.col("kind") == k, F.col("n"))), F.lit(0)).alias(k) for k in ("abbreviation", "opener", "inside")])
     wide = cut(wide)
@@ -354,4 +354,4 @@ def sentences(docs: DataFrame, abbreviations: frozenset[str] | None = None, open
                     ends.append(b)
             yield pd.DataFrame({"doc_id": pd.array(ids, dtype="Int64"), "start_pos": pd.Series(starts, dtype="int64"), "end_pos": pd.Series(ends, dtype="int64")})
 
-    return docs.select("doc_id", "text", "line_mode").where(F.col("text").isNotNull()).mapInPandas(run, "doc_id bigint, start_pos bigint, end_pos bigint")
+    return spread(docs.select("doc_id", "text", "line_mode").where(F.col("text").isNotNull())).mapInPandas(run, "doc_id bigint, start_pos bigint, end_pos bigint")

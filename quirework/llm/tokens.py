@@ -21,6 +21,8 @@ import tiktoken
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quirework.session import spread
+
 #: Folder of the public vocabularies; the same on every machine of a cluster.
 VOCABULARIES = "/opt/tokenizers"
 #: Fixed value: the published pattern that splits text before the merges.
@@ -110,11 +112,11 @@ def decoded(ids: Column | str, path: str | None = None) -> Column:
 
 def encode_documents(docs: DataFrame, path: str | None = None) -> DataFrame:
     """(doc_id, ids) of every document."""
-    return docs.select("doc_id", token_ids("text", path).alias("ids"))
+    return spread(docs.select("doc_id", "text")).select("doc_id", token_ids("text", path).alias("ids"))
 
 
 def round_trip(docs: DataFrame, path: str | None = None) -> DataFrame:
     """(doc_id, n_ids, n_bytes, same): whether decoding the ids gives back the bytes of the text."""
-    ids = docs.select("doc_id", F.coalesce("text", F.lit("")).cast("binary").alias("_bytes"), token_ids("text", path).alias("ids"))
+    ids = spread(docs.select("doc_id", "text")).select("doc_id", F.coalesce("text", F.lit("")).cast("binary").alias("_bytes"), token_ids("text", path).alias("ids"))
     back = ids.select("doc_id", "_bytes", F.size("ids").alias("n_ids"), decoded("ids", path).alias("_back"))
     return back.select("doc_id", "n_ids", F.octet_length("_bytes").alias("n_bytes"), (F.col("_bytes") == F.col("_back")).alias("same"))
