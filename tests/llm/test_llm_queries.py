@@ -24,3 +24,16 @@ def test_every_document_has_ids(spark):
     docs = read_table(spark, SMALL, "documents")
     assert queries.p7_ids(spark, SMALL).count() == docs.count()
     assert queries.p7_round_trip(spark, SMALL).where("NOT same").count() == 0
+
+
+@pytest.mark.parametrize("name", sorted(queries.QUERIES))
+def test_no_product_of_tables(spark, name):
+    text = queries.QUERIES[name](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
+
+
+@pytest.mark.parametrize("name", sorted(queries.SQL))
+def test_against_sql(spark, con, name):
+    import compare
+
+    assert compare.differences(spark, con, queries.QUERIES[name], queries.SQL[name], SMALL) == ""
