@@ -132,3 +132,12 @@ def refresh(rows: DataFrame, keys: list[str], folder: str, partitions: int = 256
     if found or not _exists(spark, f"{folder}/fingerprints/_SUCCESS"):
         marks.write.mode("overwrite").parquet(f"{folder}/fingerprints")
     return changed + gone
+
+
+def publish_work(jobs: DataFrame, runs: DataFrame, folder: str, partitions: int = 256) -> list[int]:
+    """Keep the open run's work list as a partitioned table; the partitions that changed since the last call.
+
+    May be repeated at any time: a list that has not changed rewrites nothing, and
+    one that was half written is completed.
+    """
+    return refresh(to_process(jobs, runs), KEY, folder, partitions)

@@ -8,6 +8,7 @@ import pandas as pd
 import pytest
 
 from quirework import cli, safety, sinks, stages
+from quirework.operators import compaction
 from quirework.schemas import JOBS
 from quirework.sources import files, jobs
 
@@ -143,3 +144,13 @@ def test_command_line(spark, tmp_path, capsys):
     assert [x.split("\t")[-1] for x in capsys.readouterr().out.strip().split("\n")] == ["1", "0", "1"]
     assert cli.main(["retry-plan", str(tmp_path / "c.json"), "--jobs", path]) == 1
     assert json.loads(capsys.readouterr().out)["counts"] == {"ineligible": 1}
+
+
+def test_compact_command(spark, tmp_path, capsys):
+    tasks = [(1, "s", "/a.json", "success", None, 2, "{}", None), (2, "s", "/./a.json", "success", None, 2, "{}", None)]
+    spark.createDataFrame(tasks, "task_id bigint, source string, output_json string, status string, error string, n_bytes bigint, payload string, written_at timestamp").write.parquet(str(tmp_path / "t"))
+    spark.createDataFrame([], "render_id bigint, source string, output_dir string, page_paths array<string>, page_bytes array<bigint>, page_count int, dpi int, written_at timestamp").write.parquet(str(tmp_path / "r"))
+    call = ["compact", str(tmp_path / "t"), str(tmp_path / "r"), str(tmp_path / "out"), "--target-mb", "1"]
+    assert cli.main(call) == 0 and capsys.readouterr().out.strip() != "nothing new"
+    assert cli.main(call) == 0 and capsys.readouterr().out.strip() == "nothing new"
+    assert compaction.read_compacted(spark, str(tmp_path / "out")).count() == 1

@@ -74,3 +74,13 @@ def test_refresh_survives_a_failure(spark, tmp_path):
     assert read() == sorted(tuple(r) for r in two.collect())
     incremental.refresh(two.where("k = 'new'"), ["k"], folder, 16)
     assert read() == [("new", 1), ("new", 1)]
+
+
+def test_work_list(spark, tmp_path):
+    folder = str(tmp_path)
+    rows = [(i, 4, f"k{i}", "ocr", 1, 1, "pending") for i in range(30)]
+    assert incremental.publish_work(*tables(spark, rows), folder, 8)
+    assert incremental.publish_work(*tables(spark, rows), folder, 8) == []
+    more = [*rows, (99, 3, "k3", "ocr", 1, 1, "success")]
+    assert len(incremental.publish_work(*tables(spark, more), folder, 8)) == 1
+    assert {r["source_path"] for r in spark.read.parquet(f"{folder}/table").collect()} == {f"k{i}" for i in range(30) if i != 3}

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from quirework.operators import fold, matching, planning, reporting, retry, validate
 from quirework.plans.engine_queries import job_events
 from quirework.schemas import EVENTS, JOBS, JOBS_LEGACY
-from quirework.streaming.jobs import apply_event, event_stream, fold_stream
+from quirework.streaming.jobs import apply_event, counts_by_window, event_stream, fold_stream
 
 
 def event(seq, op, key="a", size=1, mtime=1, **more):
@@ -164,3 +164,14 @@ def test_retry_reasons(spark):
     assert retry.plan(jobs.where("i = 3"), files, "/out", ["/in"], overwrite=True).first()["state"] == "ineligible"  # blocked hid another reason
     now = jobs.withColumn("source_size", F.when(F.col("i") == 0, 6).otherwise(F.col("source_size")))
     assert [r["change"] for r in retry.revalidate(jobs.where("i = 0"), now.where("i = 0")).collect()] == ["source changed"]
+
+
+def test_windowed_counts_drop_what_is_too_late(spark, tmp_path):
+    times = [["2025-01-01T00:00:00+00:00", "2025-01-01T00:05:00+00:00"], ["2025-01-01T05:00:00+00:00"], ["2025-01-01T00:01:00+00:00", "2025-01-01T09:00:00+00:00"]]
+    for i, part in enumerate(times):
+        rows = [tuple(event(j, "started", at=t)[f] for f in EVENTS.fieldNames()) for j, t in enumerate(part)]
+        spark.createDataFrame(rows, EVENTS).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        q = counts_by_window(event_stream(spark, str(tmp_path / "in"), 1)).writeStream.outputMode("append").format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start()
+        q.awaitTermination(120)
+    got = {str(r["window"]["start"]): r["n"] for r in spark.read.parquet(str(tmp_path / "out")).collect()}
+    assert got["2025-01-01 00:00:00"] == 2 and got.get("2025-01-01 05:00:00") == 1  # the late event of 00:01 is gone
