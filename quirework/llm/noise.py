@@ -36,8 +36,8 @@ from quirework.session import cut, row_count_at_most
 
 MAX_WORDS = 50_000
 MAX_BIGRAMS = 2_000_000
-#: A running line stands at the edge of at least so many pages and this share of its source's pages.
-RUNNING_PAGES, SURE_PAGES, RUNNING_SHARE = 2, 6, 0.005
+#: A running line stands at the edge of at least so many pages; counted over two parts of STRETCH pages. One on this share of a source's pages is looked for in all its parts.
+RUNNING_PAGES, SURE_PAGES, STRETCH, RUNNING_SHARE = 2, 6, 128, 0.005
 #: Pages of one part of a paragraph.
 SPAN = 16
 #: Share of a running line's letters that damage may change.
@@ -119,29 +119,52 @@ def edge_noise(rows: DataFrame, terms: DataFrame | None = None) -> DataFrame:
     A model of a running line is a line that recurs at edges more often than inside
     pages, starts like a title and has no end mark; with few occurrences it must
     also look like one: no long word in small letters. Headings of ``terms`` that
-    happen to lie at edges are none. Other edge lines are running if damage to few
-    of its letters makes them from a model.
+    happen to lie at edges are none. What recurs is counted over stretches of pages,
+    whatever the length of the source, and must there be no text that is as usual in
+    the whole source; what recurs only far apart must do so on ``SURE_PAGES`` pages
+    and hardly ever inside. Other edge lines are running if damage to few of its
+    letters makes them from a model of their part of the source, or from one that
+    stands on RUNNING_SHARE of all its pages.
     """
     rest = without_number(F.col("shape"))
-    keyed = rows.withColumn("rest", rest).withColumn("key", letters(F.col("rest")))
+    part = F.floor(F.coalesce("page_no", "page_id", F.lit(0)) / STRETCH)
+    keyed = rows.withColumn("rest", rest).withColumn("key", letters(F.col("rest"))).withColumn("part", part)
     is_edge = (F.col("pos") <= 2) | (F.col("pos") > F.col("n") - 2)
     title = is_edge & ~F.col("rest").rlike(TERMINAL) & ~F.col("rest").rlike(r"^[^\p{L}]*\p{Ll}") & (F.length("key") >= 3)
     styled = ~F.col("rest").rlike(r"(^|[^\p{L}])\p{Ll}{5,}")
     # a running line stands at edges; what stands in the body as often is text that happens to lie there
-    counts = keyed.where(title).groupBy("source", "key").agg(F.count(F.lit(1)).alias("at_edge"), F.count(F.when(styled, 1)).alias("styled"))
-    counts = counts.where(f"at_edge >= {SURE_PAGES} OR styled >= {RUNNING_PAGES}")
+    titles = keyed.where(title).groupBy("source", "part", "key").agg(F.count(F.lit(1)).alias("at_edge"), F.count(F.when(styled, 1)).alias("styled"))
     if terms is not None:
         known = terms.where(F.col("term").isNotNull()).select(letters(without_number(look_alike("term"))).alias("key")).distinct()
-        counts = counts.join(known, "key", "left_anti")
+        titles = titles.join(known, "key", "left_anti")
+    titles = cut(titles)
+    total = [F.sum(c).alias(c) for c in ("at_edge", "styled")]
+    recurs = f"at_edge >= {SURE_PAGES} OR styled >= {RUNNING_PAGES}"
+    stretches = F.explode(F.array(F.col("part") - 1, F.col("part")))  # two parts each: a run that a part's end cuts is whole in one of them
+    near = titles.withColumn("stretch", stretches).groupBy("source", "stretch", "key").agg(*total).where(recurs)
     sizes = rows.where("pos = 1").groupBy("source").agg(F.count(F.lit(1)).alias("pages"))
-    counts = counts.join(sizes, "source").where(F.col("at_edge") >= F.col("pages") * RUNNING_SHARE)
-    inside = keyed.where(~is_edge).select("source", "key").join(counts.select("source", "key"), ["source", "key"]).groupBy("source", "key").agg(F.count(F.lit(1)).alias("inside"))
-    models = counts.join(inside, ["source", "key"], "left").where("at_edge > coalesce(inside, 0)").select("source", F.col("key").alias("model"))
-    edges = keyed.where(is_edge).select("source", "page_no", "page_id", "line_no", "shape", "key")
+    whole = titles.groupBy("source", "key").agg(*total).where(recurs).join(sizes, "source")
+    inside = cut(keyed.where(~is_edge).select("source", "part", "key").join(whole, ["source", "key"], "left_semi").groupBy("source", "part", "key").agg(F.count(F.lit(1)).alias("inside")))
+    whole = cut(whole.join(inside.groupBy("source", "key").agg(F.sum("inside").alias("inside")), ["source", "key"], "left").fillna(0, ["inside"]))
+    # recurring so often that every edge line of the source is compared with it
+    often = (F.col("at_edge") >= F.col("pages") * RUNNING_SHARE) & (F.col("at_edge") > F.col("inside"))
+    others = whole.where(~often)
+    around = inside.withColumn("stretch", stretches).groupBy("source", "stretch", "key").agg(F.sum("inside").alias("here"))
+    usual = F.col("inside") * F.least(F.lit(1.0), 2 * STRETCH / F.col("pages"))
+    near = near.join(others.select("source", "key", usual.alias("usual")), ["source", "key"]).join(around, ["source", "stretch", "key"], "left")
+    near = near.where((F.col("at_edge") > F.coalesce("here", F.lit(0))) & (F.col("at_edge") > 3 * F.col("usual")))
+    near = near.select("source", F.explode(F.array("stretch", F.col("stretch") + 1)).alias("part"), "key")
+    spread = others.where((F.col("at_edge") >= SURE_PAGES) & (F.col("at_edge") > SURE_PAGES * F.col("inside")))
+    near = near.union(titles.join(spread.select("source", "key"), ["source", "key"]).select("source", "part", "key")).distinct()
+    near = near.where(~F.coalesce(_roman(_roman_value(F.col("key"))) == F.col("key"), F.lit(False))).withColumnRenamed("key", "model")
+    far = whole.where(often).select("source", F.col("key").alias("model"))
+    edges = cut(keyed.where(is_edge).select("source", "part", "page_no", "page_id", "line_no", "shape", "key"))
     limit = F.greatest(F.lit(1), F.floor(F.length("model") * DAMAGE).cast("int"))
-    close = F.levenshtein("key", "model") <= limit
+    close = (F.abs(F.length("key") - F.length("model")) <= limit) & (F.levenshtein("key", "model") <= limit)
     long_enough = F.length("key") * 2 > F.length("model")
-    running = edges.where("length(key) >= 2").join(models, "source").where(long_enough & close)
+    readable = edges.where("length(key) >= 2")
+    running = readable.join(far, "source").where(long_enough & close).select("page_id", "line_no")
+    running = running.union(readable.join(near, ["source", "part"]).where(long_enough & close).select("page_id", "line_no"))
     running = cut(running.select("page_id", "line_no").distinct().withColumn("noise", F.lit("running")))
 
     alone = F.when(F.length("shape") <= 14, F.col("shape"))

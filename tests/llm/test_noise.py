@@ -104,3 +104,27 @@ def test_lines_without_page_or_number(spark):
     odd = lines.limit(3).selectExpr("line_id + 1000 AS line_id", "CAST(NULL AS BIGINT) AS page_id", "source_path", "CAST(NULL AS INT) AS line_no", "'the rnorning lamps' AS text", "polygon", "score", "loaded_at", "source", "pos")
     got = noise.noise(lines.unionByName(odd), pages, words).collect()
     assert (None, None, "misread") in {tuple(r) for r in got} and (6, 5, "misread") in {tuple(r) for r in got}
+
+
+def test_running_lines_of_a_long_source(spark):
+    """A header of five pages counts in a long source as in a short one; usual text at edges does not."""
+    titles = ["Of Tides", "Of Lamps", "Of Boats", "Of Ropes", "Of Wells", "Of Coal"]
+    rows, want = [], set()
+    for no in range(1, 3001):
+        first = "the lantern was moved."
+        if 500 <= no < 530:
+            first = titles[(no - 500) // 5]
+            first = first if no % 5 else first.replace("Of", "0f")
+        elif no in (1535, 1536, 1537):  # a run over the end of a part
+            first = "Of Salt"
+        elif no % 499 == 3:  # far apart, but never inside
+            first = "Of Snow"
+        if first.startswith(("Of", "0f")):
+            want.add((no, 1))
+        inside = "See p. 5 at top" if no % 10 else "See p. 6 in all"
+        edge = "See p. 7 at top" if no % 300 < 2 else "the clerk moved."
+        page = [first, "the keeper moved.", inside, "the harbour archive.", "the shelf moved.", edge]
+        rows += [("s", no, no, i + 1, text, text, i + 1, len(page)) for i, text in enumerate(page)]
+    lines = spark.createDataFrame(rows, "source string, page_no bigint, page_id bigint, line_no int, text string, shape string, pos int, n bigint")
+    got = by_kind(noise.edge_noise(lines.repartition(4)))
+    assert got == {"running": want}
