@@ -17,7 +17,7 @@ def p1_containers(spark: SparkSession, d: str) -> DataFrame:
     """Which container each surviving file goes to (1 MiB containers, as the files here are tiny)."""
     found = compaction.listings(read_table(spark, d, "ocr_tasks"), read_table(spark, d, "render_results"))
     kept = compaction.resolve(found.drop("payload")).where("superseded_at IS NULL")
-    return compaction.pack(kept, target_bytes=1 << 20, fan_in=16, base_bytes=4096)[0]
+    return compaction.assigned(kept, target_bytes=1 << 20)
 
 
 def p2_found(spark: SparkSession, d: str) -> DataFrame:

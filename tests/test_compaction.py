@@ -33,17 +33,17 @@ def test_rules_of_the_last_state(spark):
     assert got == {("ocr_tasks", 1, 0), ("ocr_tasks", 2, 0), ("ocr_tasks", 5, 0), ("ocr_tasks", 9, 0), ("render_results", 1, 0), ("render_results", 3, 0)}
 
 
-def test_levels_do_not_change_the_outcome(spark):
+def test_tiers_do_not_change_the_outcome(spark):
     rng = random.Random(1)
-    tasks = [task(i, f"/d/{rng.choice(['hot', str(rng.randint(0, 30))])}.json", rng.randint(0, 9)) for i in range(400)]
+    tasks = [(*task(i, f"/d/{rng.choice(['hot', str(rng.randint(0, 30))])}.json", rng.randint(0, 9))[:5], rng.choice([0, 40, 9000, 10**7]), "{}", at(rng.randint(0, 9)), "f", 1) for i in range(400)]
     want = {}
     for t in tasks:
         key = (t[7], t[0])
         want[t[2]] = max(want.get(t[2], key), key)
-    for fan_in in (1, 3, 16):
-        rows = compaction.resolve(found_of(spark, tasks), fan_in).collect()
+    for fan_in, base in ((2, 1), (3, 100), (16, 4096)):
+        rows = compaction.resolve(found_of(spark, tasks), fan_in, base).collect()
         assert {r["row_id"] for r in rows if r["superseded_at"] is None} == {k[1] for k in want.values()}
-        assert len(rows) == 400
+        assert len(rows) == 400 and {r["superseded_at"] for r in rows} == {None, 1, 2}
 
 
 def test_packing_places_every_file_once(spark):
@@ -51,7 +51,8 @@ def test_packing_places_every_file_once(spark):
     tasks = [(*task(i, f"/d/{i}.json", 1)[:5], rng.choice([0, 1, 50, 900, 5000, 60_000]), "{}", at(1), "f", 1) for i in range(600)]
     kept = compaction.resolve(found_of(spark, tasks)).where("superseded_at IS NULL")
     target = 64 << 10
-    assignment, log = compaction.pack(kept, target, fan_in=4, base_bytes=256)
+    assignment = compaction.assigned(kept, target, fan_in=4, base_bytes=256)
+    _, log = compaction.pack(compaction.as_files(kept), target, fan_in=4, base_bytes=256)
     rows = assignment.collect()
     assert sorted(r["row_id"] for r in rows) == list(range(600))
     sizes = {}
@@ -63,32 +64,62 @@ def test_packing_places_every_file_once(spark):
     assert log.groupBy("input").count().where("count > 1").count() == 0  # a file is merged once
 
 
+def stored(folder):
+    return sorted(p for p in (folder / "data").rglob("part-*.parquet"))
+
+
 def test_transactions_can_be_replayed(spark, tmp_path):
     out = str(tmp_path / "store")
     first = [task(1, "/a.json", 1, "old"), task(2, "/b.json", 1, "b")]
     txn = compaction.compact_into(found_of(spark, first), out, 1 << 20)
     assert txn and compaction.compact_into(found_of(spark, first), out, 1 << 20) is None
     more = [*first, task(3, "/./a.json", 5, "new")]
-    second = compaction.compact_into(found_of(spark, more), out, 1 << 20)
     read = lambda: {r["path"]: r["payload"] for r in compaction.read_compacted(spark, out).collect()}
-    assert read() == {"/a.json": "new", "/b.json": "b"}
-    # a run that died after writing its data but before its journal counts for nothing and is repeated
-    (tmp_path / "store" / "_journal" / second / "_SUCCESS").unlink()
+    # a run that died before its commit counts for nothing and is repeated
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(compaction.store, "write_text", lambda *a: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            compaction.compact_into(found_of(spark, more), out, 1 << 20)
     assert read() == {"/a.json": "old", "/b.json": "b"}
-    assert compaction.compact_into(found_of(spark, more), out, 1 << 20) == second
-    assert read() == {"/a.json": "new", "/b.json": "b"}
+    second = compaction.compact_into(found_of(spark, more), out, 1 << 20)
+    assert second and read() == {"/a.json": "new", "/b.json": "b"} and len(stored(tmp_path / "store")) == 1
+    dropped = compaction.journal(spark, out).where("superseded_at IS NOT NULL").collect()
+    assert [(r["row_id"], r["path"]) for r in dropped] == [(1, "/a.json")]
+
+
+def test_many_small_runs_leave_few_files(spark, tmp_path):
+    """Earlier containers are inputs of later merges; replaced and dead rows leave the disk."""
+    rng = random.Random(5)
+    out, tasks, want = str(tmp_path / "store"), [], {}
+    for run in range(5):
+        for _ in range(12):
+            i = len(tasks)
+            path = f"/d/{rng.randint(0, 40)}.json"
+            tasks.append((*task(i, path, run)[:5], rng.choice([100, 900, 3000]), f"p{i}", at(run), "f", 1))
+            want[path] = f"p{i}"
+        assert compaction.compact_into(found_of(spark, tasks), out, 20_000, fan_in=4, base_bytes=256)
+        assert {r["path"]: r["payload"] for r in compaction.read_compacted(spark, out).collect()} == want
+        files = stored(tmp_path / "store")
+        rows = spark.read.parquet(*map(str, files))
+        total = rows.agg(F.sum("n_bytes")).first()[0]
+        assert len(files) <= total / 10_000 + 1 and rows.select("container").distinct().count() == len(files)  # one file each, all but one at least half full
+        assert all(spark.read.parquet(str(f)).agg(F.sum("n_bytes")).first()[0] <= 23_000 for f in files)
+        assert rows.count() <= len(want) * 1.5
+    assert compaction.compact_into(found_of(spark, tasks), out, 20_000) is None
+    newest = {(r["src"], r["row_id"]) for r in compaction.resolve(found_of(spark, tasks)).where("superseded_at IS NULL").collect()}
+    assert {(r["src"], r["row_id"]) for r in compaction.journal(spark, out).where("superseded_at IS NULL").collect()} == newest
+    assert compaction.superseded(found_of(spark, tasks), out).count() == len(tasks) - len(newest)
 
 
 def test_empty(spark, tmp_path):
     empty = found_of(spark, [])
     assert compaction.superseded(empty).count() == 0
-    assert compaction.pack(compaction.resolve(empty).where("superseded_at IS NULL"))[0].count() == 0
+    assert compaction.assigned(compaction.resolve(empty).where("superseded_at IS NULL")).count() == 0
     assert compaction.compact_into(empty, str(tmp_path / "s")) is None
     assert compaction.read_compacted(spark, str(tmp_path / "s")).count() == 0
 
 
-@pytest.mark.parametrize("fan_in", [4])
-def test_merges_combine_before_the_shuffle(spark, fan_in):
-    plan = compaction.superseded(found_of(spark, [task(1, "/a", 1)]), fan_in)._jdf.queryExecution().executedPlan().toString()
-    assert "Window" not in plan and "partial_max" in plan
+def test_merges_combine_before_the_shuffle(spark):
+    plan = compaction.resolve(found_of(spark, [task(1, "/a", 1)]))._jdf.queryExecution().executedPlan().toString()
+    assert "partial_max" in plan
     assert compaction.resolve(found_of(spark, [task(1, "/a", 1)])).where(F.col("superseded_at").isNotNull()).count() == 0
