@@ -70,12 +70,35 @@ def test_patterns_place_the_histogram(histogram, capacity):
             found[n] = found.get(n, 0) + count * k
     assert found == histogram
     ranks: dict[int, int] = {}
-    for n, first, last, _, each in packing.slots(histogram, capacity):
+    for n, first, last, _, each in packing.slots(packing.patterns(histogram, capacity)):
         assert first == ranks.get(n, 0) and (last - first + 1) % each == 0
         ranks[n] = last + 1
     assert ranks == histogram
 
 
+def test_the_shortest_pack_takes_the_next_length():
+    # best fit would set 3 beside 6, where it leaves the least room
+    assert sorted(packing.patterns({6: 1, 5: 1, 3: 1}, 10)) == [(1, [(3, 1), (5, 1)]), (1, [(6, 1)])]
+    assert sorted(packing.patterns({7: 4, 6: 2, 2: 3}, 10)) == [(1, [(2, 1), (7, 1)]), (2, [(2, 1), (6, 1)]), (3, [(7, 1)])]
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.integers(1, 30), max_size=80))
+def test_patterns_are_those_of_one_length_at_a_time(lengths):
+    packs: list[list[int]] = []
+    for n in sorted(lengths, reverse=True):
+        shortest = min(packs, key=sum, default=None)
+        if shortest is not None and sum(shortest) + n <= 30:
+            shortest.append(n)
+        else:
+            packs.append([n])
+    histogram: dict[int, int] = {}
+    for n in lengths:
+        histogram[n] = histogram.get(n, 0) + 1
+    got = sorted(sum(n * k for n, k in content) for count, content in packing.patterns(histogram, 30) for _ in range(count))
+    assert got == sorted(map(sum, packs))
+
+
 @pytest.mark.parametrize("capacity", [7, 64])
 def test_packing(spark, capacity):
     rng = random.Random(capacity)
@@ -91,6 +114,10 @@ def test_hot_length_is_ranked_in_buckets(spark, monkeypatch):
     sizes = [5] * 700 + [3] * 20
     df = spark.createDataFrame([(i, n) for i, n in enumerate(sizes)], "doc_id bigint, n_tokens int")
     check(packing.pack(df, 16).collect(), sizes, 16)
+    monkeypatch.setattr(packing, "AT_ONCE", 2)
+    both = packing.pack_sizes(df, [(1, 16), (2, 4), (3, 50)]).collect()
+    for capacity_id, capacity in ((1, 16), (2, 4), (3, 50)):
+        check([r for r in both if r["capacity_id"] == capacity_id], sizes, capacity)
 
 
 def test_odd_packings(spark):
@@ -101,6 +128,11 @@ def test_odd_packings(spark):
     for bad in (0, -1, None):
         with pytest.raises(ValueError):
             packing.pack(empty, bad)
+    same = spark.createDataFrame([(None, 5), (None, 5), (7, 12), (7, 12), (None, None)], "doc_id bigint, n_tokens int").fillna(0, ["n_tokens"])
+    used = {}
+    for r in packing.pack(same, 8).collect():
+        used.setdefault(r["container"], []).append(r["n_tokens"])
+    assert sorted(map(sum, used.values())) == [5, 5, 8, 8, 8] or max(map(sum, used.values())) <= 8 and sum(map(sum, used.values())) == 34
     caps = spark.createDataFrame([(1, 4), (2, 100)], "capacity_id int, capacity_tokens int")
     packed = packing.pack_all(docs(spark, ODD), caps)
     assert {r["capacity_id"] for r in packed.select("capacity_id").distinct().collect()} == {1, 2}
