@@ -2,15 +2,18 @@
 
 Method: document-centred disambiguation. Whether a period ends a sentence depends
 on whether the word before it is an abbreviation and the word behind it a proper
-name. Both are read first from unambiguous occurrences in the same document (an
-abbreviation is followed by a small letter or a number, a name stands capitalised
-inside a sentence), then from the same evidence counted over the whole corpus, and
-only then from short lists of common abbreviations. Other scripts have terminator
-rules of their own.
-
-Corpus evidence is counted per batch before any shuffle. The tables sent to the
-workers hold words with at least ``MIN_SHARE`` of all evidence of their kind, so
-they have at most 1 / MIN_SHARE rows whatever the corpus holds.
+name. Both are asked of the document first: its unambiguous occurrences (an
+abbreviation goes on in small letters or numbers, an ordinary word stands without a
+period, a name stands capitalised inside a sentence). Where the document is silent
+or contradicts itself, the same evidence counted over the whole corpus decides, and
+only then short lists of common abbreviations. What kind of abbreviation it is
+(before a name, before a number, at the end) is told by those lists where they have
+it. Other scripts have terminator rules of their own.
+
+Corpus evidence is counted in the JVM, summed before any shuffle, and judged by
+ratios of counts, so it means the same at every size. The most frequent words of it
+(at most ``HOT_WORDS``) are sent to the workers; if there are more, each document is
+joined with the others that it has at a period.
 
 Defined results: null, empty and blank texts have no sentences; a text in which no
 mark ends anything is one sentence per paragraph (or line, if line breaks are
@@ -25,23 +28,28 @@ from collections.abc import Iterator
 
 import pandas as pd
 import regex as re
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quirework.session import cut, spread
+from quirework.session import cut, row_count_at_most, spread
 
-MIN_SHARE = 1 / 5000
-#: Quotations open at once; an older one that is still open then never closes.
-DEEPEST = 64
-MIN_COUNT = 5
+#: Words of the corpus evidence that every worker gets; further ones are joined to the documents that need them.
+HOT_WORDS = 50_000
+#: Occurrences that make evidence, and how many sentence ends one occurrence as an abbreviation outweighs.
+MIN_COUNT, OUTWEIGHS = 5, 10
 
 # Common abbreviations, without their last period.
-#: Before a name or number; never the end of a sentence.
-BEFORE = frozenset("dr mr mrs ms prof st sr sra srta dra hr fr mme mlle m no nr nos fig figs vol vols p pp pag pág págs s bd bde vgl cf voir núm num t ch chap art ed ca z d h b e g i ex ej resp bzw bes z.b d.h p.ex p.ej e.g i.e u.a см рис стр т.е напр г-н г-жа д-р ул κ κα βλ σελ αρ π.χ".split())
+#: Before a name.
+TITLES = frozenset("dr mr mrs ms prof st sr sra srta dra hr fr mme mlle m г-н г-жа д-р ул κ κα".split())
+#: Before a number.
+NUMBERED = frozenset("no nr nos fig figs vol vols p pp pag pág págs bd bde núm num t ch chap art рис стр σελ αρ".split())
+#: Before anything; a sentence goes on behind them.
+LEADING = frozenset("s vgl cf ca z d h b e g i ex ej ed resp bzw z.b d.h p.ex p.ej e.g i.e u.a см т.е напр βλ π.χ".split())
 #: Often the last word of a sentence.
-AFTER = frozenset("etc usw a.m p.m am pm jr inc ltd co al т.д т.п др мм км см mm cm km kg s sek min sec κ.λπ κλπ".split()) - {"см", "s"}
+CLOSING = frozenset("etc usw a.m p.m am pm jr inc ltd co al т.д т.п др мм км mm cm km kg sek min sec κ.λπ κλπ".split())
 #: Between the two: the end of a sentence only if the next word opens sentences.
 EITHER = frozenset("г гг в вв χιλ".split())
+LISTED = {w: kind for kind, words in (("title", TITLES), ("number", NUMBERED), ("leading", LEADING), ("closing", CLOSING), ("either", EITHER)) for w in words}
 MONTHS_DE = frozenset("januar februar märz april mai juni juli august september oktober november dezember".split())
 #: Words that report speech, where letter case cannot show that a sentence goes on.
 REPORTING = re.compile(r"写道|说|說|问道|問道|答道|喊道|叫道|回答|कहा|पूछा|लिखा|बोल|كتب|قال|سأل|أجاب|กล่าว|ถาม|เขียน|พูด")
@@ -55,60 +63,93 @@ EVENT = re.compile(rf"(?P<mark>[.!?。！？।॥؟۔．｡…;;]+)|(?P<thai>(
 PARAGRAPH = re.compile(r"(?:\r\n|\r|\n)(?:[^\S\r\n]*(?:\r\n|\r|\n))+")
 LINE = re.compile(r"\r\n|\r|\n")
 STRONG = frozenset("!?。！？।॥؟۔｡")
-WORD_BEFORE = re.compile(r"(?:\p{L}[\p{L}\p{M}’'-]*\.)*\p{L}[\p{L}\p{M}’'-]*$")
+WORD_CHAR = re.compile(r"[\p{L}\p{M}’'-]")
+DOTTED = re.compile(r"(?:\p{L}[\p{L}\p{M}]{0,5}\.){1,4}$")
+NUMBER_LIKE = re.compile(r"[\p{Nd}(]|[IVXLCDM]+(?!\p{L})|\p{L}(?![\p{L}\p{M}’'])|\p{L}+[-/]?\p{Nd}|\p{L}{1,4}\.[^\S\r\n]?\p{Nd}")
 CJK = re.compile(r"[\p{Han}\p{Hiragana}\p{Katakana}]")
 DIGITS_ONLY = re.compile(r"[\p{Nd}ivxlcdmIVXLCDM]{1,7}$")
 CLOSERS = "”»」』›)]）］】\"'’"
 NEXT_WORD = re.compile(r"\p{L}[\p{L}\p{M}’'-]*")
 SPACED = re.compile(r"(?:^|\s)(\p{L})\.[^\S\r\n]?(\p{L})\.$")
 
-#: Evidence in a text: an abbreviation goes on in small letters or numbers ...
-GOES_ON = re.compile(r"(?<![\p{L}\p{M}.])((?:\p{L}\.)*\p{L}[\p{L}\p{M}-]{0,5})\.(?=,|(?!\s*\n\s*\n)\s+[\p{Ll}\p{Nd}])")
+#: Evidence in a text: an abbreviation goes on in small letters or numbers, without a paragraph break between ...
+GOES_ON = re.compile(r"(?<![\p{L}\p{M}.])((?:\p{L}\.){0,4}\p{L}[\p{L}\p{M}-]{0,5})\.(?=,|[^\S\n]*+(?:\n[^\S\n]*+)?(?<=\s)[\p{Ll}\p{Nd}])")
 #: ... a word opens a sentence behind a paragraph break or a strong mark ...
 OPENS = re.compile(r"(?:\A|\n\s*\n\s*|[!?]\s+)(\p{Lu}[\p{L}\p{M}’'-]*)")
 #: ... and a name stands capitalised behind a small-lettered word.
 INSIDE = re.compile(r"\p{Ll},?[ \n](\p{Lu}[\p{L}\p{M}’'-]*)")
 
-
-def evidence(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """(kind, word, n) of a stream of (text, line_mode), summed per batch; nothing goes on over a hard line break."""
-    for batch in batches:
-        counts: Counter = Counter()
-        for text, mode in zip(batch["text"], batch["line_mode"]):
-            if text:
-                if mode == "hard":
-                    text = LINE.sub("\n\n", text)
-                counts.update(("abbreviation", w.lower()) for w in GOES_ON.findall(text))
-                counts.update(("opener", w) for w in OPENS.findall(text))
-                counts.update(("inside", w) for w in INSIDE.findall(text))
-        yield pd.DataFrame([(k, w, n) for (k, w), n in counts.items()], columns=["kind", "word", "n"])
-
-
-def corpus_evidence(docs: DataFrame) -> tuple[frozenset[str], frozenset[str]]:
-    """(abbreviations, openers) counted over all documents, each at most 1 / MIN_SHARE words."""
-    counts = spread(docs.select("text", "line_mode")).mapInPandas(evidence, "kind string, word string, n bigint")
-    counts = counts.groupBy("kind", "word").agg(F.sum("n").alias("n"))
-    wide = counts.groupBy("word").agg(*[F.coalesce(F.sum(F.when(F.col("kind") == k, F.col("n"))), F.lit(0)).alias(k) for k in ("abbreviation", "opener", "inside")])
-    wide = cut(wide)
-    totals = wide.agg(F.coalesce(F.sum("abbreviation"), F.lit(0)).alias("a"), F.coalesce(F.sum("opener"), F.lit(0)).alias("o")).first()
-    a = (F.col("abbreviation") >= MIN_COUNT) & (F.col("abbreviation") >= totals["a"] * MIN_SHARE)
-    o = (F.col("opener") >= MIN_COUNT) & (F.col("opener") >= totals["o"] * MIN_SHARE) & (F.col("opener") > F.col("inside"))
-    rows = wide.where(a | o).select("word", a.alias("is_a"), o.alias("is_o")).collect()  # at most 2 / MIN_SHARE rows
-    return frozenset(r["word"] for r in rows if r["is_a"]), frozenset(r["word"] for r in rows if r["is_o"])
+# The same for the JVM, whose classes of blanks are written out; lengths are bounded where a group repeats.
+_B, _NB = r"[\s\p{Z}\x85]", r"[\t\x0B\f\r\p{Z}\x85]"
+JVM_GOES_ON = rf"(?<![\p{{L}}\p{{M}}.])((?:\p{{L}}\.){{0,4}}\p{{L}}[\p{{L}}\p{{M}}-]{{0,5}})\.(?=,|{_NB}*+(?:\n{_NB}*+)?(?<={_B})[\p{{Ll}}\p{{Nd}}])"
+JVM_STOPS = rf"(?<![\p{{L}}\p{{M}}.])((?:\p{{L}}\.){{0,4}}\p{{L}}[\p{{L}}\p{{M}}-]{{0,5}})\.{_B}++\p{{Lu}}"
+JVM_OPENS = rf"(?:\A|\n\n|[!?]{_B}++)(\p{{Lu}}[\p{{L}}\p{{M}}’'-]*+)"  # in a text whose paragraph breaks are two characters
+JVM_INSIDE = r"\p{Ll},?[ \n](\p{Lu}[\p{L}\p{M}’'-]*+)"
+JVM_BEFORE = r"(?<![\p{L}\p{M}.])((?:\p{L}\.){0,4}\p{L}[\p{L}\p{M}-]{0,5})\."
+JVM_BEHIND = rf"\.[”»」』›)\]\"'’]*+{_B}*+(\p{{Lu}}[\p{{L}}\p{{M}}’'-]*+)"
+JVM_PLAIN = r"(?<![\p{L}\p{M}\p{Nd}.’'-])(" + "|".join(sorted(w for w in LISTED if "." not in w)) + r")(?![\p{L}\p{M}\p{Nd}.’'-])"
+
+
+def corpus_evidence(docs: DataFrame) -> DataFrame:
+    """(word, abbreviation, ordinary, opener): what the whole corpus shows of a word, and how often it was seen (n).
+
+    An abbreviation goes on at least ``MIN_COUNT`` times and at least once for
+    ``OUTWEIGHS`` times that it stands before a capital; an ordinary word, asked of
+    listed ones only, stands without a period more often than it goes on; an opener
+    opens sentences more often than it stands inside. Nothing depends on how large
+    the corpus is. Nothing goes on over a hard line break.
+    """
+    text = F.when(F.col("line_mode") == "hard", F.regexp_replace("text", "\r\n|\r|\n", "\n\n")).otherwise(F.col("text"))
+    # only paragraph breaks matter to what opens, so runs of blank lines become one
+    text = F.regexp_replace(text, rf"\n{_B}*\n{_B}*+", "\n\n")
+    kinds = {
+        "goes": F.transform(F.regexp_extract_all("t", F.lit(JVM_GOES_ON)), F.lower),
+        "stops": F.transform(F.regexp_extract_all("t", F.lit(JVM_STOPS)), F.lower),
+        "plain": F.regexp_extract_all("t", F.lit(JVM_PLAIN)),
+        "opens": F.regexp_extract_all("t", F.lit(JVM_OPENS)),
+        "inside": F.regexp_extract_all("t", F.lit(JVM_INSIDE)),
+    }
+
+    def tagged(kind: str, words: Column) -> Column:
+        return F.transform(words, lambda w: F.struct(F.lit(kind).alias("kind"), w.alias("word")))
+
+    found = F.concat(*[tagged(k, words) for k, words in kinds.items()])
+    rows = docs.where(F.col("text").isNotNull()).select(text.alias("t")).select(F.explode(found).alias("e")).select("e.kind", "e.word")
+    counts = rows.groupBy("kind", "word").agg(F.count(F.lit(1)).alias("n"))
+    n = {k: F.coalesce(F.sum(F.when(F.col("kind") == k, F.col("n"))), F.lit(0)) for k in kinds}
+    seen = (F.col("goes") >= MIN_COUNT) & (F.col("goes") * OUTWEIGHS >= F.col("stops"))
+    wide = counts.groupBy("word").agg(F.sum("n").alias("n"), *[e.alias(k) for k, e in n.items()]).select(
+        "word", "n",
+        seen.alias("abbreviation"),
+        ((F.col("plain") >= MIN_COUNT) & (F.col("plain") > F.col("goes"))).alias("ordinary"),
+        ((F.col("opens") >= MIN_COUNT) & (F.col("opens") > F.col("inside"))).alias("opener"),
+    )
+    return wide.where("abbreviation OR ordinary OR opener")
+
+
+Evidence = tuple[frozenset[str], frozenset[str], frozenset[str]]
+KINDS = ("abbreviation", "ordinary", "opener")
+
+
+def _sets(rows) -> Evidence:
+    return tuple(frozenset(r["word"] for r in rows if r[k]) for k in KINDS)
 
 
 class Splitter:
     """Sentence positions of one text after the other, with the corpus evidence at hand."""
 
-    def __init__(self, abbreviations: frozenset[str] = frozenset(), openers: frozenset[str] = frozenset()):
-        self.abbreviations, self.openers = abbreviations, openers
+    def __init__(self, abbreviations: frozenset[str] = frozenset(), openers: frozenset[str] = frozenset(), ordinary: frozenset[str] = frozenset()):
+        self.abbreviations, self.openers, self.ordinary = abbreviations, openers, ordinary
+        self.more: Evidence = (frozenset(), frozenset(), frozenset())
 
-    def split(self, text: str | None, hard: bool) -> list[tuple[int, int]]:
+    def split(self, text: str | None, hard: bool, more: Evidence | None = None) -> list[tuple[int, int]]:
+        """``more``: corpus evidence of rare words of this text."""
         if not text or text.isspace():
             return []
-        self.doc_abbreviations: set[str] | None = None
+        self.more = more or (frozenset(), frozenset(), frozenset())
+        self.goes: Counter | None = None
         self.seen: dict[str, bool] = {}
-        self.text = text
+        self.text, self.hard = text, hard
         out: list[tuple[int, int]] = []
         at = 0
         for gap in (LINE if hard else PARAGRAPH).finditer(text):
@@ -118,17 +159,22 @@ class Splitter:
         return out
 
     def _from_document(self) -> None:
-        self.doc_abbreviations = {w.lower() for w in GOES_ON.findall(self.text)}
-        self.doc_names = set(INSIDE.findall(self.text))
-        self.doc_openers = set(OPENS.findall(self.text))
+        text = LINE.sub("\n\n", self.text) if self.hard else self.text
+        self.goes = Counter(w.lower() for w in GOES_ON.findall(text))
+        self.doc_names = set(INSIDE.findall(text))
+        self.doc_openers = set(OPENS.findall(text))
 
     def _quoted(self, lo: int, hi: int) -> list[tuple[int, int]]:
         """The outermost quotations that open and close within the paragraph."""
         spans: list[tuple[int, int]] = []
         stack: list[tuple[str, int]] = []
+        closed_by: dict[str, list[tuple[int, int]]] = {}  # closing mark -> (place in the stack, position) of what it may close
         for m in QUOTES.finditer(self.text, lo, hi):
             c = m[0]
-            match = next((i for i in range(len(stack) - 1, -1, -1) if c in PAIR[stack[i][0]]), None)
+            waiting = closed_by.get(c, [])
+            while waiting and not (waiting[-1][0] < len(stack) and stack[waiting[-1][0]][1] == waiting[-1][1]):
+                waiting.pop()  # closed meanwhile by something around it
+            match = waiting[-1][0] if waiting else None
             if match is not None and not (c == "“" and stack[match][0] != "„"):
                 begin = stack[match][1]
                 del stack[match:]
@@ -136,9 +182,9 @@ class Splitter:
                     spans.pop()
                 spans.append((begin, m.start()))
             elif c in PAIR:
+                for mark in PAIR[c]:
+                    closed_by.setdefault(mark, []).append((len(stack), m.start()))
                 stack.append((c, m.start()))
-                if len(stack) > DEEPEST:
-                    del stack[0]
         return spans
 
     def _paragraph(self, lo: int, hi: int, out: list[tuple[int, int]]) -> None:
@@ -251,8 +297,7 @@ class Splitter:
             return False
         if c.islower():
             return False
-        word = WORD_BEFORE.search(text, max(start, begin - 24), begin)
-        w = word[0] if word else ""
+        w = self._word_before(start, begin)
         if not blank:
             if stop > begin + 1:  # a closing bracket stands between
                 return c.isupper() or c in OPEN
@@ -260,7 +305,7 @@ class Splitter:
                 i = at
                 while i < hi and (text[i].isalnum() or text[i] in "._/"):
                     i += 1
-                if (w.lower() in BEFORE and len(w) < 3 and not self._unit(w, start, begin)) or "/" in text[at:i] or "_" in text[at:i]:
+                if (LISTED.get(w.lower()) in ("title", "number", "leading") and len(w) < 3 and not self._unit(w, start, begin)) or "/" in text[at:i] or "_" in text[at:i]:
                     return False
                 j = begin
                 while j > start and not text[j - 1].isspace():
@@ -283,30 +328,73 @@ class Splitter:
         low = w.lower()
         spaced = SPACED.search(text, max(start, begin - 6), begin + 1)
         pair = f"{spaced[1]}.{spaced[2]}".lower() if spaced else ""
-        if pair in AFTER or (low in AFTER and low not in BEFORE):
+        if LISTED.get(pair) == "closing":
             return True
-        if pair and pair in BEFORE:
+        if pair in LISTED:
             return False
-        if low not in EITHER and self._unit(w, start, begin):
+        kind = LISTED.get(low)
+        if kind != "either" and self._unit(w, start, begin):
             return not c.isdigit()
-        if low in BEFORE and (len(w) > 1 or w.islower() or c.isdigit()):
-            if low in ("e", "g", "b", "d", "h", "i", "t") and len(w) == 1 and not pair and c.isupper() and self._opener(text, at, hi):
-                return True
-            return False
         following = NEXT_WORD.match(text, at, hi)
-        if len(w) == 1 and w.isupper():  # an initial, unless what follows is a word that also stands uncapitalised
+        if len(w) == 1 and w.isupper() and not (kind and c.isdigit()) and kind != "either":
+            # an initial, unless what follows is a word that also stands uncapitalised
             if spaced or not following or (len(following[0]) == 1 and text[following.end() : following.end() + 1] == "."):
                 return False
             return self._uncapitalised(following[0].lower())
-        if self.doc_abbreviations is None:
+        if kind == "number" and c.isdigit():
+            return False  # its number stands here
+        is_one = self._abbreviation(w, low, c.isdigit())
+        if is_one is None:
+            is_one = kind is not None
+        if not is_one or kind == "closing":
+            return True
+        if kind == "number":
+            return not NUMBER_LIKE.match(text, at, hi)
+        if kind == "title":
+            return False
+        if kind == "leading":
+            return len(w) == 1 and w != "s" and c.isupper() and self._opener(text, at, hi)
+        if c.isdigit():
+            return False
+        return not following or self._opener(text, at, hi)
+
+    def _word_before(self, start: int, begin: int) -> str:
+        """The word that ends at ``begin``, with the dotted letters that belong to it."""
+        text, i = self.text, begin
+        while i > start and WORD_CHAR.match(text[i - 1]):
+            i -= 1
+        while i < begin and not text[i].isalpha():
+            i += 1
+        if i == begin:
+            return ""
+        dotted = DOTTED.search(text, max(start, i - 28), i) if text[i - 1 : i] == "." and i > start else None
+        return (dotted[0] if dotted else "") + text[i:begin]
+
+    def _abbreviation(self, w: str, low: str, digit: bool) -> bool | None:
+        """Whether a word before a period is an abbreviation: by the document, else by the corpus; None if neither knows."""
+        if self.goes is None:
             self._from_document()
-        if low in EITHER or low in self.abbreviations or low in self.doc_abbreviations:
-            if c.isdigit():
-                return False
-            if not following:
-                return True
-            return self._opener(text, at, hi)
-        return True
+        elsewhere = self.goes[low] > (1 if digit else 0)  # a number behind this period has been counted too
+        ordinary = w.islower() and self._plain(w)
+        if elsewhere != ordinary:
+            return elsewhere
+        if low in self.abbreviations or low in self.more[0]:
+            return True
+        if w.islower() and (low in self.ordinary or low in self.more[1]):
+            return False
+        return None
+
+    def _plain(self, w: str) -> bool:
+        """Whether the document has the word in small letters without a period behind it; asked of it once."""
+        key = "." + w
+        if key not in self.seen:
+            text, at, found = self.text, self.text.find(w), False
+            while at >= 0 and not found:
+                before, behind = text[at - 1 : at] if at else " ", text[at + len(w) : at + len(w) + 1] or " "
+                found = not (before.isalnum() or before in ".’'-" or behind.isalnum() or behind in ".’'-" or WORD_CHAR.match(before) or WORD_CHAR.match(behind))
+                at = text.find(w, at + 1)
+            self.seen[key] = found
+        return self.seen[key]
 
     def _uncapitalised(self, word: str) -> bool:
         """Whether the document has the word in small letters; asked of it once."""
@@ -328,30 +416,45 @@ class Splitter:
         following = NEXT_WORD.match(text, at, hi)
         if not following:
             return True
-        if self.doc_abbreviations is None:
+        if self.goes is None:
             self._from_document()
         w = following[0]
-        if w in self.openers:
-            return True
-        if w in self.doc_names:
-            return False
-        return w in self.doc_openers
-
-
-def sentences(docs: DataFrame, abbreviations: frozenset[str] | None = None, openers: frozenset[str] | None = None) -> DataFrame:
-    """(doc_id, start_pos, end_pos) of every sentence; corpus evidence is counted first unless given."""
-    if abbreviations is None or openers is None:
-        abbreviations, openers = corpus_evidence(docs)
+        name, opens = w in self.doc_names, w in self.doc_openers
+        if name != opens:
+            return opens
+        return w in self.openers or w in self.more[2]
+
+
+def sentences(docs: DataFrame, evidence: DataFrame | None = None) -> DataFrame:
+    """(doc_id, start_pos, end_pos) of every sentence; corpus evidence is counted over ``docs`` unless given."""
+    evidence = cut(corpus_evidence(docs) if evidence is None else evidence)
+    texts = docs.select("doc_id", "text", "line_mode").where(F.col("text").isNotNull())
+    few = row_count_at_most(evidence, HOT_WORDS)
+    if few is None:
+        hot = evidence.orderBy(F.desc("n"), "word").limit(HOT_WORDS)
+        few = hot.collect()
+        texts = with_rare_evidence(texts, evidence.join(cut(hot).select("word"), "word", "left_anti"))
+    abbreviations, ordinary, openers = _sets(few)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        splitter = Splitter(abbreviations, openers)
+        splitter = Splitter(abbreviations, openers, ordinary)
         for pdf in batches:
             ids, starts, ends = [], [], []
-            for doc_id, text, mode in zip(pdf["doc_id"], pdf["text"], pdf["line_mode"]):
-                for a, b in splitter.split(text, mode == "hard"):
+            rare = pdf["more"] if "more" in pdf else [None] * len(pdf)
+            for doc_id, text, mode, more in zip(pdf["doc_id"], pdf["text"], pdf["line_mode"], rare):
+                for a, b in splitter.split(text, mode == "hard", _sets(more) if more is not None else None):
                     ids.append(doc_id)
                     starts.append(a)
                     ends.append(b)
             yield pd.DataFrame({"doc_id": pd.array(ids, dtype="Int64"), "start_pos": pd.Series(starts, dtype="int64"), "end_pos": pd.Series(ends, dtype="int64")})
 
-    return spread(docs.select("doc_id", "text", "line_mode").where(F.col("text").isNotNull())).mapInPandas(run, "doc_id bigint, start_pos bigint, end_pos bigint")
+    return spread(texts).mapInPandas(run, "doc_id bigint, start_pos bigint, end_pos bigint")
+
+
+def with_rare_evidence(texts: DataFrame, evidence: DataFrame) -> DataFrame:
+    """``texts`` with ``more``: the evidence of those of its words that stand beside a period. Equal texts share it."""
+    keyed = texts.withColumns({"_h": F.xxhash64("text"), "_g": F.xxhash64("text", F.lit(1))})
+    words = F.concat(F.transform(F.regexp_extract_all("text", F.lit(JVM_BEFORE)), F.lower), F.regexp_extract_all("text", F.lit(JVM_BEHIND)))
+    needed = keyed.select("_h", "_g", F.explode(F.array_distinct(words)).alias("word")).distinct()
+    found = needed.join(evidence, "word").groupBy("_h", "_g").agg(F.collect_list(F.struct("word", *KINDS)).alias("more"))
+    return keyed.join(found, ["_h", "_g"], "left").drop("_h", "_g")

@@ -2,6 +2,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from quirework.llm import sentences as sentences_module
 from quirework.llm.sentences import Splitter, corpus_evidence, sentences
 
 OPENERS = frozenset(["The", "Der", "Сканер", "Second", "Le", "This"])
@@ -78,13 +79,63 @@ def test_operator(spark):
     assert sentences(df.where("false")).count() == 0
 
 
-def test_evidence_is_counted_over_the_corpus(spark):
-    df = spark.createDataFrame([(f"Siehe Abb. {i} und blz. vier.\n\nZebra kam.", "wrapped") for i in range(20)], "text string, line_mode string")
-    abbreviations, openers = corpus_evidence(df)
-    assert {"abb", "blz"} <= abbreviations and "Zebra" in openers
+#: Words of the lists that are ordinary words here; what the document or the next word shows must come before the list.
+ORDINARY = [
+    "|He said no.| |Then he left the room.|", "|She studied art.| |It was hard.|", "|There is no fig.| |A fig fell.| |Nobody ate a fig.|",
+    "|Dijo que no.| |Luego salió.|", "|No quiso un vol.| |Nadie lo vio.|", "|Sie malte in ihrer Art.| |Dann ging sie.|", "|Er trug die Nr.| |Dann ging er.|",
+    "|Il étudie l’art.| |Puis il part.|", "|Il faut voir.| |Puis il part.|", "|Это старый рис.| |Потом он ушёл.|", "|Она ела рис.| |Рис был вкусный.|", "|Το βιβλίο έχει σελ.| |Μετά έφυγε.|",
+    "|他没有来。| |他走了。|", "|彼は来なかった。||そして帰った。|", "|वह नहीं आया।| |फिर वह गया।|", "|لم يأت أحد.| |ثم غادر.|", "|เขาไม่มา| |แล้วเขาก็ไป|",
+    # the document shows the word without a period, so it ends a sentence even before a name
+    "|The ed was old, an ed like any ed.| |Nyvel left.|",
+    # and the other way round: the document shows an unlisted word as an abbreviation
+    "|Blz. vier is leeg, blz. acht ook.| |Zie blz. Nyvel.|",
+    "|The answer was no.| |Nobody asked, see no. 5 and no. 7.|",
+]
+
+
+@pytest.mark.parametrize("marked", ORDINARY)
+def test_the_document_before_the_lists(marked):
+    test_sentences(marked, False)
 
 
-@pytest.mark.parametrize("text", ["“" * 60_000, "“a.” " * 20_000, "Plan B. Then. " * 20_000, "J. R. " * 20_000, ". " * 50_000, "a" * 200_000, "（" * 50_000 + "。", "Dr. " * 30_000])
+def sets_of(df):
+    rows = df.collect()
+    return {k: {r["word"] for r in rows if r[k]} for k in ("abbreviation", "ordinary", "opener")}
+
+
+def test_evidence_is_counted_over_the_corpus(spark):
+    rows = [(f"Siehe Abb. {i} und blz. vier.\n\nZebra kam. Der Rest art und no.", "wrapped") for i in range(20)] + [("The art was no\n\nart.\nno x. Out. Out.", "hard")] * 30
+    got = sets_of(corpus_evidence(spark.createDataFrame([*rows, (None, None), ("", "hard")], "text string, line_mode string")))
+    assert {"abb", "blz"} <= got["abbreviation"] and "no" not in got["abbreviation"]
+    assert {"Zebra"} <= got["opener"] and {"art", "no"} <= got["ordinary"]
+    # nothing is lost because there is more of something else
+    many = spark.createDataFrame([*rows, *[("Nothing goes on. Out. " * 400, "wrapped")] * 40], "text string, line_mode string")
+    assert "blz" in sets_of(corpus_evidence(many))["abbreviation"]
+
+
+def test_python_and_jvm_see_the_same_evidence(spark):
+    texts = ["Siehe Abb. 7, z. B. in a.b. c. Wort. und", "x.\n\ny. 5 z.\n a. b\n\nThe End? Yes! No one said Orim, Lis.", "A" * 30 + ". b c.d.e. f", "  \xa0No.\xa05", "а.б. в Э. Слово. 7"]
+    for text in texts:
+        row = spark.createDataFrame([(text,)], "t string").select(
+            sentences_module.F.regexp_extract_all("t", sentences_module.F.lit(sentences_module.JVM_GOES_ON)).alias("g"),
+            sentences_module.F.regexp_extract_all("t", sentences_module.F.lit(sentences_module.JVM_INSIDE)).alias("i"),
+        ).first()
+        assert row["g"] == sentences_module.GOES_ON.findall(text) and row["i"] == sentences_module.INSIDE.findall(text)
+
+
+def test_evidence_beyond_what_is_sent_out_is_joined(spark, monkeypatch):
+    rows = [(i, f"Zie blz. vier. Dit is blz. Nyvel hier.\n\nZebra kam. Siehe xyz. drei. Am xyz. Zebra lief. Am xyz. Orim lief {i % 3}.", "wrapped") for i in range(30)]
+    rows += [(100 + i, "Dit is blz. Nyvel hier. Am xyz. Zebra lief.", "wrapped") for i in range(5)] + [(None, "Dit is blz. Nyvel hier.", None), (200, None, None)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, line_mode string")
+    read = lambda: sorted((str(r[0]), r[1], r[2]) for r in sentences(df).collect())
+    want = read()
+    assert ("None", 0, 23) in want and ("100", 24, 31) in want
+    for bound in (0, 1, 2):
+        monkeypatch.setattr(sentences_module, "HOT_WORDS", bound)
+        assert read() == want
+
+
+@pytest.mark.parametrize("text", ["“" * 60_000, "“a.” " * 20_000, "Plan B. Then. " * 20_000, "J. R. " * 20_000, ". " * 50_000, "a" * 200_000, "（" * 50_000 + "。", "Dr. " * 30_000, "„" * 60_000 + "”" * 60_000, "ab" * 100_000 + ". X", "no. Then " * 20_000, "a.b." * 40_000 + " Then", " " * 100_000 + "a." + " " * 100_000 + "B"])
 def test_long_texts_take_their_time_once(text):
     import time
 
