@@ -2,29 +2,38 @@
 
 Method: noisy-channel correction. Character confusion probabilities times corpus
 n-gram likelihood are decoded by Viterbi over candidate words per line (over
-candidate phrases where a script writes no blanks). Around it: running lines and
-page numbers by recurrence at the edges of a source's pages, divided words by the
-next body line wherever it stands, and paragraphs from what is left.
+candidate phrases where a script writes no blanks). The confusions are learnt from
+the corpus: unknown tokens are aligned with the vocabulary words that one exchange
+of up to two characters makes of them, and the exchanges that many different words
+share are counted by expectation maximisation; all others keep a small smoothed
+probability. A token far more frequent than its confusions explain is a word of its
+own. Around it: running lines and page numbers by recurrence at the edges of a
+source's pages, divided words by the next body line wherever it stands, and
+paragraphs from what is left.
 
 Where rows meet: a page is a small group by nature, so order and neighbours within
 it are windows over the page. Sources may be huge, so nothing but counts, edge
 lines and one row per page is ever grouped or ordered by source, and the order of a
-source's pages is taken in chunks. The language model sent to the workers is
-bounded by the vocabulary (``word_list``, checked) squared.
+source's pages is taken in chunks. Workers get the language model while it has at
+most ``MAX_FACTS`` counts; beyond that each line is joined with the counts it needs.
+A vocabulary above ``MAX_WORDS`` is first reduced to the words that can matter.
 
 Defined results: null and blank lines are no noise and part of nothing; of repeated
 lines (page, number) the one with the largest id counts; lines without a polygon
-stand below the others in order of detection; lines whose page is unknown keep
-their own source and no neighbours on other pages; an empty table gives no rows.
+stand below the others in order of detection; a line without a number repeats no
+other; a line whose page is not listed keeps its own source and has no neighbours
+on other pages; one without a page stands alone; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
 import math
 import unicodedata
+import uuid
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 import regex as re
 from pyspark.sql import Column, DataFrame, Window
@@ -32,10 +41,10 @@ from pyspark.sql import functions as F
 
 from quirework.functions.ranks import last_in_sequence, next_in_sequence
 from quirework.llm.lookalikes import LIGATURES, look_alike, mapping
-from quirework.session import cut, row_count_at_most
+from quirework.session import cut, row_count_at_most, spread
 
-MAX_WORDS = 50_000
-MAX_BIGRAMS = 2_000_000
+#: Words held by a worker, and counts of the language model sent to it; more are joined.
+MAX_WORDS, MAX_FACTS = 1_000_000, 2_000_000
 #: A running line stands at the edge of at least so many pages; counted over two parts of STRETCH pages. One on this share of a source's pages is looked for in all its parts.
 RUNNING_PAGES, SURE_PAGES, STRETCH, RUNNING_SHARE = 2, 6, 128, 0.005
 #: Pages of one part of a paragraph.
@@ -43,15 +52,15 @@ SPAN = 16
 #: Share of a running line's letters that damage may change.
 DAMAGE = 0.3
 
-# Common misreadings, what is read and what stood there.
-CONFUSIONS = [
-    ("c", "e"), ("e", "c"), ("i", "r"), ("r", "i"), ("@", "a"), ("l", "i"), ("i", "l"), ("f", "t"), ("t", "f"), ("cl", "d"), ("d", "cl"), ("0", "o"), ("1", "l"), ("1", "i"), ("5", "s"), ("b", "h"), ("h", "b"),
-    ("ii", "u"), ("u", "ii"), ("9", "g"), ("q", "g"), ("rn", "m"), ("m", "rn"), ("vv", "w"), ("w", "vv"), ("6", "b"), ("8", "b"), ("nn", "m"), ("ri", "n"), ("li", "h"), ("u", "n"), ("n", "u"), ("o", "c"), ("c", "o"),
-    ("6", "é"), ("6", "ó"), ("c", "é"), ("c", "è"), ("e", "é"), ("e", "è"), ("a", "à"), ("a", "ä"), ("o", "ö"), ("u", "ü"), ("ii", "ü"), ("0", "ö"), ("@", "ä"), ("@", "à"), ("a", "â"), ("i", "î"), ("ß", "b"), ("b", "ß"), ("B", "ß"), ("3", "e"), ("7", "t"), ("2", "z"), ("y", "v"), ("v", "y"), ("$", "s"), ("|", "l"), ("!", "l"), ("a", "o"), ("o", "a"),
-]
-#: Pairs that keep the shape but for an accent; a mark that is missing is a misreading too.
-PRIOR = 2.0
-ACCENT = frozenset(p for p in CONFUSIONS if unicodedata.normalize("NFD", p[1])[0] == p[0])
+#: Share of words that are misread, and the weight of an exchange that was never seen, by the characters read and meant.
+MISREAD = 0.05
+SMOOTHING = {(1, 1): 0.02, (2, 1): 0.005, (1, 2): 0.005, (1, 0): 0.001, (0, 1): 0.001, (2, 2): 0.0005, (2, 0): 0.0002, (0, 2): 0.0002}
+#: Weight of all exchanges never seen; what an exchange with an accent takes from the one without, and one from its reverse.
+UNSEEN, ACCENTED, REVERSED = 20.0, 0.05, 0.02
+#: Cost of a letter of an unknown word: -log of one in 27.
+LETTER_COST = 3.3
+#: A token seen so often, and so many times as often as confusions explain, is a word of its own.
+OWN_COUNT, OWN_TIMES = 5, 100
 
 BLANK = r"[\p{Z}\s]"
 HYPHEN = "[-‐‑¬­]"
@@ -65,18 +74,28 @@ LOOKS = ("lIi|!OoQSsBbZzgq", "11111000558822" + "99")
 
 # ---------------------------------------------------------------- pages and edges
 
+#: A line: its place among the lines of its page, and its own ids.
+LINE = ["_page", "pos", "page_id", "line_no"]
+
 
 def ordered_lines(lines: DataFrame, pages: DataFrame) -> DataFrame:
-    """(source, page_no, page_id, line_no, text, shape, pos, n): the lines of each page from top to bottom."""
+    """(source, page_no, page_id, _page, line_no, text, shape, pos, n): the lines of each page from top to bottom.
+
+    ``_page`` is the page's name, also of the lines without one.
+    """
     own = lines.select("page_id", "line_no", "line_id", F.col("source_path").alias("_own"), "text", F.array_min(F.transform("polygon", lambda p: F.get(p, F.lit(1)))).alias("y"))
     own = own.where(F.col("text").isNotNull() & F.col("text").rlike(r"[^\p{Z}\s\p{Cf}]"))
     place = pages.select("page_id", F.col("source_path").alias("_source"), "page_no")
     rows = own.join(place, "page_id", "left").withColumn("source", F.coalesce("_source", "_own"))
-    latest = Window.partitionBy("page_id", "line_no").orderBy(F.desc("line_id"))
-    rows = rows.withColumn("_r", F.row_number().over(latest)).where("_r = 1")
-    page = Window.partitionBy("page_id")
-    order = page.orderBy(F.asc_nulls_last("y"), "line_no")
-    return rows.select("source", "page_no", "page_id", "line_no", "text", look_alike("text").alias("shape"), F.row_number().over(order).alias("pos"), F.count(F.lit(1)).over(page).alias("n"))
+    # lines without a page are no page together; all windows share one partitioning by page
+    lone = F.concat_ws("|", F.lit("lone"), "line_id", F.xxhash64("line_id", "_own", "line_no", "text"))
+    rows = rows.withColumn("_page", F.coalesce(F.col("page_id").cast("string"), lone))
+    page = Window.partitionBy("_page")
+    latest = page.orderBy("line_no", F.desc("line_id"))
+    repeats = F.coalesce(F.col("line_no") == F.lag("line_no").over(latest), F.lit(False))
+    rows = rows.withColumn("_repeats", repeats).where("NOT _repeats")
+    order = page.orderBy(F.asc_nulls_last("y"), "line_no", F.desc("line_id"))
+    return rows.select("source", "page_no", "page_id", "_page", "line_no", "text", look_alike("text").alias("shape"), F.row_number().over(order).alias("pos"), F.count(F.lit(1)).over(page).alias("n"))
 
 
 def without_number(shape: Column) -> Column:
@@ -114,7 +133,7 @@ def _roman_value(s: Column) -> Column:
 
 
 def edge_noise(rows: DataFrame, terms: DataFrame | None = None) -> DataFrame:
-    """(page_id, line_no, noise): running lines and page numbers among the two outer lines at either end of a page.
+    """(_page, pos, page_id, line_no, noise): running lines and page numbers among the two outer lines at either end of a page.
 
     A model of a running line is a line that recurs at edges more often than inside
     pages, starts like a title and has no end mark; with few occurrences it must
@@ -158,18 +177,18 @@ def edge_noise(rows: DataFrame, terms: DataFrame | None = None) -> DataFrame:
     near = near.union(titles.join(spread.select("source", "key"), ["source", "key"]).select("source", "part", "key")).distinct()
     near = near.where(~F.coalesce(_roman(_roman_value(F.col("key"))) == F.col("key"), F.lit(False))).withColumnRenamed("key", "model")
     far = whole.where(often).select("source", F.col("key").alias("model"))
-    edges = cut(keyed.where(is_edge).select("source", "part", "page_no", "page_id", "line_no", "shape", "key"))
+    edges = cut(keyed.where(is_edge).select("source", "part", "page_no", *LINE, "shape", "key"))
     limit = F.greatest(F.lit(1), F.floor(F.length("model") * DAMAGE).cast("int"))
     close = (F.abs(F.length("key") - F.length("model")) <= limit) & (F.levenshtein("key", "model") <= limit)
     long_enough = F.length("key") * 2 > F.length("model")
     readable = edges.where("length(key) >= 2")
-    running = readable.join(far, "source").where(long_enough & close).select("page_id", "line_no")
-    running = running.union(readable.join(near, ["source", "part"]).where(long_enough & close).select("page_id", "line_no"))
-    running = cut(running.select("page_id", "line_no").distinct().withColumn("noise", F.lit("running")))
+    running = readable.join(far, "source").where(long_enough & close).select(*LINE)
+    running = running.union(readable.join(near, ["source", "part"]).where(long_enough & close).select(*LINE))
+    running = cut(running.distinct().withColumn("noise", F.lit("running")))
 
     alone = F.when(F.length("shape") <= 14, F.col("shape"))
     joined = F.coalesce(F.nullif(F.regexp_extract("shape", rf"^{BESIDE} +\p{{L}}.{{3}}", 1), F.lit("")), F.nullif(F.regexp_extract("shape", rf"\p{{L}}[^ ]* +{BESIDE}$", 1), F.lit("")))
-    marked = edges.join(running, ["page_id", "line_no"], "left").withColumn("mark", F.when(F.col("noise").isNotNull(), joined).otherwise(alone)).drop("noise")
+    marked = edges.join(running.select("_page", "pos", "noise"), ["_page", "pos"], "left").withColumn("mark", F.when(F.col("noise").isNotNull(), joined).otherwise(alone)).drop("noise")
     marked = marked.withColumn("num", F.regexp_extract("mark", DECORATED, 2))
     marked = marked.withColumn("pre", F.trim(F.regexp_extract("mark", DECORATED, 1))).withColumn("post", F.trim(F.regexp_extract("mark", DECORATED, 3)))
     digits = F.translate("num", *LOOKS)
@@ -192,21 +211,21 @@ def edge_noise(rows: DataFrame, terms: DataFrame | None = None) -> DataFrame:
     as_digits = F.when(F.col("kind") == "arabic", F.translate(seen, *LOOKS)).otherwise(seen)
     wanted = F.regexp_replace(F.when(F.col("kind") == "arabic", F.translate(expected, *LOOKS)).otherwise(expected), " ", "")
     slack = F.when(F.length(wanted) <= 2, 0).otherwise(1)
-    folio = candidates.where((due > 0) & (F.levenshtein(as_digits, wanted) <= slack)).select("page_id", "line_no").distinct()
-    folio = folio.join(running, ["page_id", "line_no"], "left_anti").withColumn("noise", F.lit("folio"))
+    folio = candidates.where((due > 0) & (F.levenshtein(as_digits, wanted) <= slack)).select(*LINE).distinct()
+    folio = folio.join(running, ["_page", "pos"], "left_anti").select(*LINE).withColumn("noise", F.lit("folio"))
     return running.unionByName(folio)
 
 
 def body_lines(rows: DataFrame, edge: DataFrame) -> DataFrame:
     """Lines of running text with ``before`` and ``after``: the body lines next to them, across pages."""
-    body = rows.join(edge.select("page_id", "line_no"), ["page_id", "line_no"], "left_anti")
-    order = Window.partitionBy("page_id").orderBy("pos")
+    body = rows.join(edge.select("_page", "pos"), ["_page", "pos"], "left_anti")
+    order = Window.partitionBy("_page").orderBy("pos")
     body = body.withColumn("after", F.lead("text").over(order)).withColumn("before", F.lag("text").over(order))
-    ends = body.groupBy("page_id").agg(F.first("source").alias("source"), F.first("page_no").alias("page_no"), F.min_by("text", "pos").alias("head"), F.max_by("text", "pos").alias("tail"))
-    chain = next_in_sequence(ends.where("page_no IS NOT NULL"), "source", "page_no", F.struct("page_id", "head"), "next")
-    follow = chain.select("page_id", F.col("next.head").alias("_next_head"))
-    precede = chain.where("next IS NOT NULL").select(F.col("next.page_id").alias("page_id"), F.col("tail").alias("_prev_tail"))
-    body = body.join(follow, "page_id", "left").join(precede, "page_id", "left")
+    ends = body.groupBy("_page").agg(F.first("source").alias("source"), F.first("page_no").alias("page_no"), F.min_by("text", "pos").alias("head"), F.max_by("text", "pos").alias("tail"))
+    chain = next_in_sequence(ends.where("page_no IS NOT NULL"), "source", "page_no", F.struct("_page", "head"), "next")
+    follow = chain.select("_page", F.col("next.head").alias("_next_head"))
+    precede = chain.where("next IS NOT NULL").select(F.col("next._page").alias("_page"), F.col("tail").alias("_prev_tail"))
+    body = body.join(follow, "_page", "left").join(precede, "_page", "left")
     return body.withColumn("after", F.coalesce("after", "_next_head")).withColumn("before", F.coalesce("before", "_prev_tail")).drop("_next_head", "_prev_tail")
 
 
@@ -228,23 +247,76 @@ HAN = re.compile(r"\p{Han}")
 ENDS_DIVIDED = re.compile(DIVIDED)
 
 
-class Channel:
-    """What may have stood where something was read, and how likely it is."""
+class Vocabulary:
+    """Words and phrases, and the words that one exchange of up to two characters may have made into a token.
 
-    def __init__(self, words: dict[str, frozenset[str]], bigrams: dict[tuple[str, str], int], unigrams: dict[str, int], learnt: dict[tuple[str, str], int]):
-        self.given = words, bigrams, unigrams, learnt
+    The index holds a hash and a number for each place of each word: about 36
+    bytes a letter, in arrays.
+    """
+
+    def __init__(self, words: dict[str, frozenset[str]]):
         self.words = frozenset(w for w, langs in words.items() if langs - {"zh"})
         self.phrases = frozenset(w for w, langs in words.items() if "zh" in langs)
-        self.bigrams, self.unigrams = bigrams, unigrams
+        self.list = sorted(w for w in self.words if len(w) > 1)
+        self.longest = max(map(len, self.list), default=0)
+        keys, numbers = [], []
+        for n, w in enumerate(self.list):
+            found = [hash(k) for k, _ in self.gaps(w)]
+            keys += found
+            numbers += [n] * len(found)
+        order = np.argsort(np.array(keys, dtype="int64"), kind="stable")
+        self.keys, self.numbers = np.array(keys, dtype="int64")[order], np.array(numbers, dtype="int32")[order]
+
+    @staticmethod
+    def gaps(w: str) -> list[tuple[str, str]]:
+        """(what is left around a gap, what stood in it) for every gap of up to two characters."""
+        return [(w[:i] + "\0" + w[i + k :], w[i : i + k]) for k in (0, 1, 2) for i in range(len(w) - k + 1)]
+
+    def near(self, read: str) -> dict[str, tuple[str, str]]:
+        """word -> (read, meant), the shortest exchange that leads from the word to ``read``."""
+        out: dict[str, tuple[str, str]] = {}
+        if not self.list or len(read) > self.longest + 2:
+            return out
+        gaps = self.gaps(read)
+        hashes = np.array([hash(k) for k, _ in gaps], dtype="int64")
+        lo, hi = np.searchsorted(self.keys, hashes, "left"), np.searchsorted(self.keys, hashes, "right")
+        for g in np.nonzero(hi > lo)[0]:
+            key, a = gaps[g]
+            at = key.index("\0")
+            for n in self.numbers[lo[g] : hi[g]]:
+                w = self.list[n]
+                b = w[at : at + len(w) - len(key) + 1]
+                if w != read and w[:at] + "\0" + w[at + len(b) :] == key and len(b) <= 2:
+                    if a and b and (a[0] == b[0] or a[-1] == b[-1]):
+                        continue  # a shorter exchange says the same
+                    if w not in out or (len(a) + len(b), a, b) < (len(out[w][0]) + len(out[w][1]), *out[w]):
+                        out[w] = a, b
+        return out
+
+
+def plain_letter(c: str) -> str:
+    return "".join(x for x in unicodedata.normalize("NFD", c) if not unicodedata.combining(x))
+
+
+class Channel:
+    """What may have stood where something was read, and how likely it is.
+
+    ``learnt`` tells in how many different words each exchange (read, meant) was
+    seen, ``own`` the tokens that are words although the vocabulary lacks them.
+    """
+
+    def __init__(self, words: dict[str, frozenset[str]] | Vocabulary, bigrams: dict[tuple[str, str], int], unigrams: dict[str, int], learnt: dict[tuple[str, str], float], own: frozenset[str] = frozenset()):
+        self.vocabulary = words if isinstance(words, Vocabulary) else Vocabulary(words)
+        self.words, self.phrases = self.vocabulary.words, self.vocabulary.phrases
+        self.bigrams, self.unigrams, self.own = bigrams, unigrams, own
         self.total = sum(unigrams.values()) + len(self.words) + 1
-        counts = {p: (0.05 if p in ACCENT else PRIOR) for p in CONFUSIONS}
-        for p, n in learnt.items():
-            counts[p] = counts.get(p, 0) + n
-        whole = sum(counts.values())
-        self.cost = {p: -math.log(0.05 * n / whole) for p, n in counts.items()}
+        # one word may be a coincidence: each exchange is discounted by one
+        self.seen = {p: n - 1 for p, n in learnt.items() if n > 1}
+        self.whole = sum(self.seen.values()) + UNSEEN
         self.by_read: dict[str, list[tuple[str, float]]] = defaultdict(list)
-        for (a, b), c in self.cost.items():
-            self.by_read[a].append((b, c))
+        for a, b in sorted({*self.seen, *((b, a) for a, b in self.seen)}):
+            if a and self._weight(a, b) >= 1:
+                self.by_read[a].append((b, self.cost(a, b)))
         self.longest = max((len(a) for a in self.by_read), default=1)
         self.table = {ord(a): b for a, b in (mapping() | LIGATURES).items()}
         self.table |= {c: " " for c in (0xA0, 0x2007, 0x2009, 0x202F, 0x3000, 0x2002, 0x2003, 0x2004, 0x2005, 0x2006, 0x2008, 0x200A, 0x1680, 0x205F, 0x85, 0x2028, 0x2029)}
@@ -256,8 +328,16 @@ class Channel:
         self.phrase_chars = frozenset("".join(self.phrases))
         self.known: dict[str, tuple[tuple[str, float], ...]] = {}
 
-    def __reduce__(self):  # workers build their own from the counts
-        return Channel, self.given
+    def cost(self, a: str, b: str) -> float:
+        """-log of the probability that a word is misread by reading ``a`` for ``b``."""
+        return -math.log(MISREAD * self._weight(a, b) / self.whole)
+
+    def _weight(self, a: str, b: str) -> float:
+        weight = self.seen.get((a, b), 0.0) + REVERSED * self.seen.get((b, a), 0.0) + SMOOTHING[len(a), len(b)]
+        plain = plain_letter(b)
+        if plain != b:
+            weight += ACCENTED * self.seen.get((a, plain), 0.0)
+        return weight
 
     def _edits(self, word: str) -> list[tuple[str, float]]:
         out = []
@@ -273,17 +353,41 @@ class Channel:
         found: dict[str, float] = {}
         if low in self.words:
             found[low] = 0.03
-        if len(low) > 1:
-            for once, c in self._edits(low):
-                if once in self.words and len(once) > 1:
-                    found[once] = min(found.get(once, 99.0), c)
-            if not found and 4 <= len(low) <= 24:
+            if len(low) > 1:
+                for once, c in self._edits(low):
+                    if once in self.words and len(once) > 1:
+                        found[once] = min(found.get(once, 99.0), c)
+        elif len(low) > 1 and low not in self.own:
+            # an exchange never seen must be less of a wonder than the letters of an unknown word
+            most = LETTER_COST * (len(low) - 1)
+            for word, (a, b) in self.vocabulary.near(low).items():
+                c = self.cost(a, b)
+                if self._weight(a, b) >= 1 or c <= most and len(a) == 1 == len(b) or c <= most - LETTER_COST and len(a) and len(b):
+                    found[word] = c
+            if len(low) > 3 and len(low) <= self.vocabulary.longest + 2 and not any(c < 12 for c in found.values()):
                 for once, c in self._edits(low):
                     for twice, d in self._edits(once):
                         if twice in self.words and len(twice) > 3:
                             found[twice] = min(found.get(twice, 99.0), c + d)
         return tuple(sorted(found.items(), key=lambda x: (x[1], x[0])))
 
+    def needs(self, text: str, before: str | None) -> set[tuple[str, str]]:
+        """The counts that the decoding of a line may ask for: pairs of words, and tokens that may be words of their own."""
+        toks = self.tokens(shaped(text, self.table))
+        found = [self.options(t) for t, _, _ in toks]
+        if not any(o and (len(o) > 1 or o[0][0] != t.lower()) for o, (t, _, _) in zip(found, toks)):
+            return set()
+        out = {(t.lower(), OWN) for o, (t, _, _) in zip(found, toks) if o and o[0][0] != t.lower()}
+        for left, right in zip(found, found[1:]):
+            out |= {(v, w) for v, _ in left for w, _ in right}
+        return out
+
+    def with_facts(self, facts) -> None:
+        """Counts of one line (a, b, n) instead of those of the whole corpus."""
+        self.bigrams = {(a, b): n for a, b, n in facts if b != OWN}
+        self.own = frozenset(a for a, b, _ in facts if b == OWN)
+        self.known.clear()
+
     def _follows(self, a: str, b: str) -> float:
         """-log P(b | a), the bigram backed off to the single word."""
         single = (self.unigrams.get(b, 0) + 1) / self.total
@@ -411,26 +515,53 @@ class Channel:
         return line, found
 
 
-def vocabulary(word_list: DataFrame) -> dict[str, frozenset[str]]:
-    rows = row_count_at_most(word_list.where("word IS NOT NULL").select(F.lower("word").alias("word"), "lang").distinct(), MAX_WORDS)
-    if rows is None:
-        raise ValueError(f"word_list has more than {MAX_WORDS} words")
+#: Stands for the second word where a count is that of a token that is a word of its own.
+OWN = "\0own"
+
+
+def vocabulary(word_list: DataFrame, body: DataFrame | None = None) -> dict[str, frozenset[str]]:
+    """The words and their languages. Above ``MAX_WORDS``, of the words without a Chinese entry only those that matter
+    to the lines: that occur in them, or that one exchange makes into a token of theirs."""
+    listed = word_list.where("word IS NOT NULL").select(F.lower("word").alias("word"), "lang").distinct()
+    rows = row_count_at_most(listed, MAX_WORDS)
+    if rows is None and body is not None:
+        tokens = body.select(F.explode(F.split(F.lower(look_alike("text")), r"[^\p{L}\p{M}\p{Nd}@$|!-]+")).alias("token")).distinct()
+        gaps = lambda c: F.flatten(F.transform(F.sequence(F.lit(0), F.lit(2)), lambda k: F.transform(F.filter(F.sequence(F.lit(0), F.length(c)), lambda i: i + k <= F.length(c)), lambda i: F.concat(F.substring(c, F.lit(1), i), F.lit("\0"), F.substring(c, i + k + 1, F.length(c))))))
+        keys = tokens.where(F.length("token") > 1).select(F.explode(gaps(F.col("token"))).alias("key")).distinct()
+        matter = listed.select("word", F.explode(gaps(F.col("word"))).alias("key")).join(keys, "key", "left_semi").select("word").distinct()
+        rows = listed.join(matter, "word", "left_semi").unionByName(listed.where("lang = 'zh'")).distinct().collect()
+    elif rows is None:
+        rows = listed.collect()
     out: dict[str, set[str]] = defaultdict(set)
     for r in rows:
         out[r["word"]].add(r["lang"] or "")
     return {w: frozenset(langs) for w, langs in out.items()}
 
 
-def _statistics(words: dict[str, frozenset[str]]):
-    """A mapInPandas function that counts words, pairs of words and clear misreadings, summed per batch."""
+_HELD: dict[str, object] = {}
+
+
+def held(name: str, make):
+    """What ``make`` gives, made once per worker for all tasks with this ``name``."""
+    if name not in _HELD:
+        _HELD.clear()
+        _HELD[name] = make()
+    return _HELD[name]
+
+
+def _counted(name: str, given):
+    """A mapInPandas function: (kind, a, b, n) of words, pairs of words and unknown tokens, summed per batch."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        channel = Channel(words, {}, {}, {})
+        channel = held(f"words-{name}", lambda: Channel(given.value, {}, {}, {}))
         for pdf in batches:
             counts: Counter = Counter()
-            for text in pdf["text"]:
+            for text, before in zip(pdf["text"], pdf["before"]):
                 last = ""
-                for t, _, _ in channel.tokens(shaped(text, channel.table)):
+                toks = channel.tokens(shaped(text, channel.table))
+                first = 1 if before and ENDS_DIVIDED.search(before) else 0
+                end = len(toks) - (1 if ENDS_DIVIDED.search(text) else 0)
+                for i, (t, _, _) in enumerate(toks):
                     low = t.lower()
                     if low in channel.words:
                         counts["w", low, ""] += 1
@@ -439,57 +570,122 @@ def _statistics(words: dict[str, frozenset[str]]):
                         last = low
                         continue
                     last = ""
-                    if len(low) > 3:
-                        options = channel.options(t)
-                        if len(options) == 1:  # only one word can have stood there: what was confused is plain
-                            word = options[0][0]
-                            i = 0
-                            while i < min(len(low), len(word)) and low[i] == word[i]:
-                                i += 1
-                            j = 0
-                            while j < min(len(low), len(word)) - i and low[-1 - j] == word[-1 - j]:
-                                j += 1
-                            pair = low[i : len(low) - j], word[i : len(word) - j]
-                            if pair in channel.cost:
-                                counts[("c", *pair)] += 1
+                    if first <= i < end and len(low) > 1 and len(low) <= channel.vocabulary.longest + 2 and PLAIN.match(t) and LETTER.search(t) and not HAN.search(t):
+                        counts["u", low, "capital" if t[0].isupper() else ""] += 1
             yield pd.DataFrame([(k, a, b, n) for (k, a, b), n in counts.items()], columns=["kind", "a", "b", "n"])
 
     return run
 
 
-def channel_of(body: DataFrame, words: dict[str, frozenset[str]]) -> Channel:
-    """The channel and language model of a corpus: counts over all its body lines."""
-    counts = body.select("text").mapInPandas(_statistics(words), "kind string, a string, b string, n bigint")
-    counts = counts.groupBy("kind", "a", "b").agg(F.sum("n").alias("n"))
-    rows = row_count_at_most(counts, MAX_BIGRAMS + len(words) + len(CONFUSIONS))  # pairs of known words only
+def _aligned(name: str, given):
+    """A mapInPandas function over unknown tokens (a, b, n): the exchanges that may have made them, weighted by the channel so far.
+
+    Names are written with capitals, so only tokens without count. The last round
+    also tells which tokens are words of their own.
+    """
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        words, unigrams, learnt = given.value
+        channel = held(f"aligned-{name}", lambda: Channel(words, {}, unigrams, learnt))
+        for pdf in batches:
+            counts: Counter = Counter()
+            for token, capital, n in zip(pdf["a"], pdf["b"], pdf["n"]):
+                near = channel.vocabulary.near(token)
+                if not near:
+                    continue
+                weights = {w: math.exp(-channel.cost(*pair)) * (unigrams.get(w, 0) + 1) for w, pair in near.items()}
+                whole = sum(weights.values())
+                if not capital and len(token) > 3:
+                    for w, pair in near.items():
+                        if learnt or len(near) == 1:
+                            counts[("c", *pair)] += weights[w] / whole
+                if n >= OWN_COUNT and n > OWN_TIMES * whole:
+                    counts["o", token, OWN] += n
+            yield pd.DataFrame([(k, a, b, float(n)) for (k, a, b), n in counts.items()], columns=["kind", "a", "b", "n"])
+
+    return run
+
+
+#: Rounds of expectation maximisation; the first takes tokens that only one word explains.
+ROUNDS = 3
+
+
+def channel_of(body: DataFrame, words: dict[str, frozenset[str]]) -> tuple[Channel, DataFrame | None]:
+    """The channel of a corpus from counts over all its body lines, and the language model's counts (a, b, n) if they are
+    too many to be sent out; then the channel has none."""
+    spark = body.sparkSession
+    sc, name = spark.sparkContext, uuid.uuid4().hex
+    counts = spread(body.select("text", "before")).mapInPandas(_counted(name, sc.broadcast(words)), "kind string, a string, b string, n bigint")
+    counts = cut(counts.groupBy("kind", "a", "b").agg(F.sum("n").alias("n")))
+    unigrams = {r["a"]: r["n"] for r in counts.where("kind = 'w'").collect()}  # words of the vocabulary
+    unknown = counts.where("kind = 'u'").groupBy("a").agg(F.min("b").alias("b"), F.sum("n").alias("n"))
+    unknown = cut(unknown)
+    learnt: dict[tuple[str, str], float] = {}
+    for k in range(ROUNDS):
+        found = unknown.mapInPandas(_aligned(f"{name}-{k}", sc.broadcast((words, unigrams, learnt))), "kind string, a string, b string, n double")
+        found = found.groupBy("kind", "a", "b").agg(F.sum("n").alias("n"))
+        found = cut(found) if k == ROUNDS - 1 else found
+        # exchanges of at most two characters that several words share: as many as an alphabet allows
+        learnt = {(r["a"], r["b"]): r["n"] for r in found.where("kind = 'c' AND n > 1").collect()}
+    facts = counts.where("kind = 'b'").select("a", "b", "n").unionByName(found.where("kind = 'o'").select("a", "b", F.col("n").cast("bigint").alias("n")))
+    rows = row_count_at_most(facts, MAX_FACTS)
     if rows is None:
-        raise ValueError("more pairs of words than the vocabulary allows")
-    kinds: dict[str, dict] = {"w": {}, "b": {}, "c": {}}
-    for r in rows:
-        kinds[r["kind"]][(r["a"], r["b"]) if r["kind"] != "w" else r["a"]] = r["n"]
-    return Channel(words, kinds["b"], kinds["w"], kinds["c"])
+        return Channel(words, {}, unigrams, learnt), facts
+    bigrams = {(r["a"], r["b"]): r["n"] for r in rows if r["b"] != OWN}
+    return Channel(words, bigrams, unigrams, learnt, frozenset(r["a"] for r in rows if r["b"] == OWN)), None
+
+
+def corrections(body: DataFrame, channel: Channel, facts: DataFrame | None = None) -> DataFrame:
+    """(_page, pos, page_id, line_no, corrected): body lines with a misread word, in visible form and corrected.
 
+    ``facts``: counts of the language model that are joined to the lines that need them.
+    """
+    name = uuid.uuid4().hex
+    model = (channel.vocabulary.words, channel.vocabulary.phrases, channel.bigrams, channel.unigrams, {p: n + 1 for p, n in channel.seen.items()}, channel.own)
+    given = body.sparkSession.sparkContext.broadcast(model)
+
+    def of_worker() -> Channel:
+        def make() -> Channel:
+            plain, phrases, bigrams, unigrams, learnt, own = given.value
+            words = {w: frozenset(["zh"] if w in phrases else []) | frozenset([""] if w in plain else []) for w in plain | phrases}
+            return Channel(words, bigrams, unigrams, learnt, own)
+
+        return held(f"channel-{name}", make)
+
+    lines = body.select(*LINE, "text", "before", "after")
+    if facts is not None:
 
-def corrections(body: DataFrame, channel: Channel) -> DataFrame:
-    """(page_id, line_no, corrected): body lines with a misread word, in visible form and corrected."""
+        def needed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            worker = of_worker()
+            for pdf in batches:
+                out = [(page, pos, a, b) for page, pos, text, before in zip(pdf["_page"], pdf["pos"], pdf["text"], pdf["before"]) for a, b in worker.needs(text, before)]
+                yield pd.DataFrame(out, columns=["_page", "pos", "a", "b"])
+
+        asked = lines.mapInPandas(needed, "_page string, pos int, a string, b string")
+        got = asked.join(facts, ["a", "b"]).groupBy("_page", "pos").agg(F.collect_list(F.struct("a", "b", "n")).alias("facts"))
+        lines = lines.join(got, ["_page", "pos"], "left")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        worker = of_worker()
         for pdf in batches:
             out = []
-            for page, line, text, before, after in zip(pdf["page_id"], pdf["line_no"], pdf["text"], pdf["before"], pdf["after"]):
-                shape, found = channel.misread(text, before, after)
+            own = pdf["facts"] if "facts" in pdf else [None] * len(pdf)
+            for page, pos, key, line, text, before, after, more in zip(pdf["_page"], pdf["pos"], pdf["page_id"], pdf["line_no"], pdf["text"], pdf["before"], pdf["after"], own):
+                if "facts" in pdf:
+                    worker.with_facts([(f["a"], f["b"], f["n"]) for f in more] if more is not None else [])
+                shape, found = worker.misread(text, before, after)
                 if found:
                     for a, b, word in sorted(found, reverse=True):
                         old = shape[a:b]
                         shape = shape[:a] + (word[:1].upper() + word[1:] if old[:1].isupper() else word) + shape[b:]
-                    out.append((page, line, shape))
-            yield pd.DataFrame(out, columns=["page_id", "line_no", "corrected"]).astype({"page_id": "Int64", "line_no": "Int32"})
+                    out.append((page, pos, key, line, shape))
+            yield pd.DataFrame(out, columns=[*LINE, "corrected"]).astype({"page_id": "Int64", "line_no": "Int32"})
 
-    return body.select("page_id", "line_no", "text", "before", "after").mapInPandas(run, "page_id bigint, line_no int, corrected string")
+    return lines.mapInPandas(run, "_page string, pos int, page_id bigint, line_no int, corrected string")
 
 
 def divided(body: DataFrame, words: dict[str, frozenset[str]]) -> DataFrame:
-    """(page_id, line_no): body lines whose last word goes on in the next body line.
+    """(_page, pos, page_id, line_no): body lines whose last word goes on in the next body line.
 
     A capital goes on only in a compound of the vocabulary broken at its own hyphen.
     """
@@ -498,22 +694,27 @@ def divided(body: DataFrame, words: dict[str, frozenset[str]]) -> DataFrame:
     first = F.regexp_extract("after", rf"^{BLANK}*(\p{{L}}[\p{{L}}\p{{M}}]*)", 1)
     known = F.lower(F.concat(last, F.lit("-"), first)).isin(compounds) if compounds else F.lit(False)
     goes_on = F.col("text").rlike(DIVIDED) & (first != "") & (~first.rlike(r"^\p{Lu}") | known | (last.rlike(r"^\p{Lu}{2,}$") & first.rlike(r"^\p{Lu}{2,}$")))
-    return body.where(goes_on).select("page_id", "line_no")
+    return body.where(goes_on).select(*LINE)
 
 
 # ---------------------------------------------------------------- results
 
 
-def noise(lines: DataFrame, pages: DataFrame, word_list: DataFrame, terms: DataFrame | None = None) -> DataFrame:
-    """(page_id, line_no, noise) of every noisy line: running, folio, hyphen, misread."""
-    words = vocabulary(word_list)
+def _prepared(lines: DataFrame, pages: DataFrame, word_list: DataFrame, terms: DataFrame | None) -> tuple[DataFrame, DataFrame, dict[str, frozenset[str]], DataFrame]:
+    """Noise at the edges, body lines with their neighbours, the vocabulary, and the corrections of the body."""
     rows = cut(ordered_lines(lines, pages))
     edge = cut(edge_noise(rows, terms))
     body = cut(body_lines(rows, edge))
-    channel = channel_of(body, words)
-    hyphen = divided(body, words).withColumn("noise", F.lit("hyphen"))
-    misread = corrections(body, channel).select("page_id", "line_no", F.lit("misread").alias("noise"))
-    return edge.unionByName(hyphen).unionByName(misread)
+    words = vocabulary(word_list, body)
+    return edge, body, words, corrections(spread(body), *channel_of(body, words))
+
+
+def noise(lines: DataFrame, pages: DataFrame, word_list: DataFrame, terms: DataFrame | None = None) -> DataFrame:
+    """(page_id, line_no, noise) of every noisy line: running, folio, hyphen, misread."""
+    edge, body, words, fixed = _prepared(lines, pages, word_list, terms)
+    hyphen = divided(body, words).select("page_id", "line_no", F.lit("hyphen").alias("noise"))
+    misread = fixed.select("page_id", "line_no", F.lit("misread").alias("noise"))
+    return edge.select("page_id", "line_no", "noise").unionByName(hyphen).unionByName(misread)
 
 
 def paragraphs(lines: DataFrame, pages: DataFrame, word_list: DataFrame, terms: DataFrame | None = None) -> DataFrame:
@@ -525,35 +726,32 @@ def paragraphs(lines: DataFrame, pages: DataFrame, word_list: DataFrame, terms:
     around headings and lone numbers. One that runs over more than ``SPAN`` pages is
     given in numbered parts of that many pages, so that no group grows without bound.
     """
-    words = vocabulary(word_list)
-    rows = cut(ordered_lines(lines, pages))
-    edge = cut(edge_noise(rows, terms))
-    body = cut(body_lines(rows, edge))
-    fixed = corrections(body, channel_of(body, words))
-    split = divided(body, words).withColumn("goes_on", F.lit(True))
-    text = body.join(fixed, ["page_id", "line_no"], "left").join(split, ["page_id", "line_no"], "left")
+    _, body, words, fixed = _prepared(lines, pages, word_list, terms)
+    fixed = fixed.select("_page", "pos", "corrected")
+    split = divided(body, words).select("_page", "pos", F.lit(True).alias("goes_on"))
+    text = body.join(fixed, ["_page", "pos"], "left").join(split, ["_page", "pos"], "left")
     text = text.withColumn("line", F.trim(F.coalesce("corrected", F.regexp_replace("text", r"[\p{Cf}&&[^\u00AD]]", ""))))
     alone = F.col("shape").rlike(r"^[\p{N}\p{P}\s]+$")
     if terms is not None:
         known = terms.where("term IS NOT NULL").select(letters(look_alike("term")).alias("k")).distinct().withColumn("is_term", F.lit(True))
         text = text.withColumn("k", letters(F.col("shape"))).join(known, "k", "left").drop("k")
         alone = alone | F.coalesce("is_term", F.lit(False))
-    page = Window.partitionBy("page_id")
+    page = Window.partitionBy("_page")
     width = F.length("line") < F.max(F.length("line")).over(page) * 0.85
     ends = F.col("goes_on").isNull() & F.col("line").rlike("[.!?。！？…”»」』)]$") & width
     text = text.withColumn("alone", alone).withColumn("ends", alone | ends)
     order = page.orderBy("pos")
     starts = F.col("alone") | F.coalesce(F.lag("ends").over(order), F.lit(False)) | F.col("before").isNull()
-    text = text.withColumn("begin", F.when(starts, F.struct("page_no", "page_id", "line_no")))
+    text = text.withColumn("begin", F.when(starts, F.struct("page_no", "page_id", "line_no", "_page", "pos")))
     text = text.withColumn("here", F.last("begin", ignorenulls=True).over(order))
     # what a page's first lines belong to began on an earlier page, unless that page ended a paragraph
-    tails = text.groupBy("page_id").agg(F.first("source").alias("source"), F.first("page_no").alias("page_no"), F.max_by("here", "pos").alias("tail"), F.max_by("ends", "pos").alias("closed"), F.min_by(F.struct("page_no", "page_id", "line_no"), "pos").alias("top"))
+    tails = text.groupBy("_page").agg(F.first("source").alias("source"), F.first("page_no").alias("page_no"), F.max_by("here", "pos").alias("tail"), F.max_by("ends", "pos").alias("closed"), F.min_by(F.struct("page_no", "page_id", "line_no", "_page", "pos"), "pos").alias("top"))
     carried = last_in_sequence(tails.where("page_no IS NOT NULL"), "source", "page_no", "tail", "earlier")
-    closed = next_in_sequence(tails.where("page_no IS NOT NULL"), "source", "page_no", F.struct("page_id", "closed"), "next")
-    after_close = tails.select("page_id", F.col("top")).join(
-        closed.where("next IS NOT NULL AND closed").select(F.col("next.page_id").alias("page_id"), F.lit(True).alias("fresh")), "page_id", "left"
+    closed = next_in_sequence(tails.where("page_no IS NOT NULL"), "source", "page_no", F.struct("_page", "closed"), "next")
+    after_close = tails.select("_page", F.col("top")).join(
+        closed.where("next IS NOT NULL AND closed").select(F.col("next._page").alias("_page"), F.lit(True).alias("fresh")), "_page", "left"
     )
-    text = text.join(carried.select("page_id", "earlier"), "page_id", "left").join(after_close, "page_id", "left")
+    text = text.join(carried.select("_page", "earlier"), "_page", "left").join(after_close, "_page", "left")
     start = F.coalesce("here", F.when(F.col("fresh"), F.col("top")), "earlier", "top")
     text = text.withColumn("start", start)
     part = F.floor((F.col("page_no") - F.col("start.page_no")) / SPAN).cast("int")
@@ -563,6 +761,6 @@ def paragraphs(lines: DataFrame, pages: DataFrame, word_list: DataFrame, terms:
     compounds = sorted(w for w in words if "-" in w)
     kept = F.lower(F.concat(F.regexp_extract("line", r"(\p{L}+)-$", 1), F.lit("-"), F.regexp_extract("after", r"^(\p{L}+)", 1))).isin(compounds) if compounds else F.lit(False)
     piece = F.when(F.col("goes_on") & kept, F.col("line")).otherwise(joined)
-    text = text.select("source", "start.page_id", "start.line_no", F.coalesce(part, F.lit(0)).alias("part"), F.struct("page_no", "pos", piece.alias("piece")).alias("x"))
-    out = text.groupBy("source", "page_id", "line_no", "part").agg(F.sort_array(F.collect_list("x")).alias("xs"))
+    text = text.select("source", "start._page", "start.pos", "start.page_id", "start.line_no", F.coalesce(part, F.lit(0)).alias("part"), F.struct("page_no", F.col("pos").alias("at"), piece.alias("piece")).alias("x"))
+    out = text.groupBy("source", "_page", "pos", "page_id", "line_no", "part").agg(F.sort_array(F.collect_list("x")).alias("xs"))
     return out.select(F.col("source").alias("source_path"), "page_id", "line_no", "part", F.size("xs").alias("n_lines"), F.trim(F.array_join(F.col("xs.piece"), "")).alias("text"))

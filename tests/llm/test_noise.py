@@ -125,6 +125,6 @@ def test_running_lines_of_a_long_source(spark):
         edge = "See p. 7 at top" if no % 300 < 2 else "the clerk moved."
         page = [first, "the keeper moved.", inside, "the harbour archive.", "the shelf moved.", edge]
         rows += [("s", no, no, i + 1, text, text, i + 1, len(page)) for i, text in enumerate(page)]
-    lines = spark.createDataFrame(rows, "source string, page_no bigint, page_id bigint, line_no int, text string, shape string, pos int, n bigint")
+    lines = spark.createDataFrame(rows, "source string, page_no bigint, page_id bigint, line_no int, text string, shape string, pos int, n bigint").withColumn("_page", noise.F.col("page_id").cast("string"))
     got = by_kind(noise.edge_noise(lines.repartition(4)))
     assert got == {"running": want}
