@@ -244,6 +244,8 @@ TOKEN = re.compile(r"(?<!\S)[“„«‹(\[{¿¡\"'‘’「『]*(\S+?)[.,;:!?
 PLAIN = re.compile(r"[\p{L}\p{M}\p{Nd}@$|!-]+$")
 LETTER = re.compile(r"\p{L}")
 HAN = re.compile(r"\p{Han}")
+#: What may be read for a Chinese character: one, or a sign of another script without case.
+SIGN = re.compile(r"\p{Lo}")
 ENDS_DIVIDED = re.compile(DIVIDED)
 
 
@@ -465,7 +467,7 @@ class Channel:
             s = score[i] + (7.0 if HAN.match(whole[i]) else 0.5)
             if s < score[i + 1]:
                 score[i + 1], link[i + 1] = s, (i, -1, "")
-            if not HAN.match(whole[i]):
+            if not SIGN.match(whole[i]):
                 continue
             for k in self.lengths:
                 if i + k > n:
@@ -479,7 +481,7 @@ class Channel:
                     continue
                 for j in range(k):
                     hit = self.openings.get(part[:j] + "\0" + part[j + 1 :])
-                    if hit and HAN.match(part[j]):
+                    if hit and SIGN.match(part[j]):
                         c = 9.0
                         if part[j] in self.phrase_chars:  # a known character: only well inside the line, where nothing is cut off
                             if k < 4 or i <= len(left) or i + k >= len(left) + len(text):
@@ -496,8 +498,8 @@ class Channel:
         return out[::-1]
 
     def _covered(self, whole: str, lo: int, hi: int) -> bool:
-        """Whether phrases as they stand cover every Han character of whole[lo:hi]."""
-        free = {i for i in range(lo, hi) if HAN.match(whole[i])}
+        """Whether phrases as they stand cover every Han or like character of whole[lo:hi]."""
+        free = {i for i in range(lo, hi) if SIGN.match(whole[i])}
         for i in range(len(whole)):
             for k in self.lengths:
                 if whole[i : i + k] in self.phrases:
@@ -520,8 +522,8 @@ OWN = "\0own"
 
 
 def vocabulary(word_list: DataFrame, body: DataFrame | None = None) -> dict[str, frozenset[str]]:
-    """The words and their languages. Above ``MAX_WORDS``, of the words without a Chinese entry only those that matter
-    to the lines: that occur in them, or that one exchange makes into a token of theirs."""
+    """The words and their languages. Above ``MAX_WORDS``, of the words only those that matter to the lines: that
+    occur in them, or that one exchange makes into a token of theirs; phrases and compounds always stay."""
     listed = word_list.where("word IS NOT NULL").select(F.lower("word").alias("word"), "lang").distinct()
     rows = row_count_at_most(listed, MAX_WORDS)
     if rows is None and body is not None:
@@ -529,7 +531,7 @@ def vocabulary(word_list: DataFrame, body: DataFrame | None = None) -> dict[str,
         gaps = lambda c: F.flatten(F.transform(F.sequence(F.lit(0), F.lit(2)), lambda k: F.transform(F.filter(F.sequence(F.lit(0), F.length(c)), lambda i: i + k <= F.length(c)), lambda i: F.concat(F.substring(c, F.lit(1), i), F.lit("\0"), F.substring(c, i + k + 1, F.length(c))))))
         keys = tokens.where(F.length("token") > 1).select(F.explode(gaps(F.col("token"))).alias("key")).distinct()
         matter = listed.select("word", F.explode(gaps(F.col("word"))).alias("key")).join(keys, "key", "left_semi").select("word").distinct()
-        rows = listed.join(matter, "word", "left_semi").unionByName(listed.where("lang = 'zh'")).distinct().collect()
+        rows = listed.join(matter, "word", "left_semi").unionByName(listed.where("lang = 'zh' OR word LIKE '%-%'")).distinct().collect()
     elif rows is None:
         rows = listed.collect()
     out: dict[str, set[str]] = defaultdict(set)

@@ -51,9 +51,9 @@ def test_every_kind(spark):
 
 
 def test_text_without_blanks(spark):
-    pages_of = [["第二遍时整理了破损的贞边，在", "窗边整理了破损的页边", "在窗辺，木达整理了"], ["在窗边", "第二遍时"]]
+    pages_of = [["第二遍时整理了破损的贞边，在", "窗边整理了破损的页边", "在窗辺，木达整理了"], ["在窗边", "第二遍时"], ["第ニ遍时整理了"]]
     lines, pages, words = tables(spark, {"b": pages_of})
-    assert by_kind(noise.noise(lines, pages, words)) == {"misread": {(1, 0), (1, 2)}}
+    assert by_kind(noise.noise(lines, pages, words)) == {"misread": {(1, 0), (1, 2), (3, 0)}}
 
 
 def test_compounds_capitals_and_late_detection(spark):
@@ -84,6 +84,48 @@ def test_paragraphs(spark):
     assert "Annals" not in whole and "- 12 -" not in whole and "5,123" in got
 
 
+LEARNT = ["the keeqer moved the lantern under", "the lamqs in the harbour", "the clerk under the lamps. The keeper", "a shelf in the morninq", "the briqht lamps, the archive", "a window for the clerk", "the wind0w and the c1erk", "the zorb moved", "the zorb under the lamps", "a zorb in the archive", "the zorb", "zorb zorb zorb", "the keeper"]
+
+
+def test_confusions_are_learnt_from_the_corpus(spark):
+    """No list names q for p or g; words that only the corpus knows are left alone."""
+    words = spark.createDataFrame(WORDS + [(w, "en") for w in ("in", "and", "for", "orb", "perhaps", "map", "plan")], "word string, lang string")
+    lines, pages, _ = tables(spark, {"b": [LEARNT, ["perhaqs the maq moved", "the qlan"]]})
+    got = {(r["page_id"], r["line_no"]): r["corrected"] for r in noise._prepared(lines, pages, words, None)[3].collect()}
+    assert got[(1, 0)] == "the keeper moved the lantern under" and got[(1, 1)] == "the lamps in the harbour" and got[(1, 3)] == "a shelf in the morning"
+    assert got[(1, 4)] == "the bright lamps, the archive" and got[(2, 0)].startswith("perhaps the")
+    assert not any("zorb" in LEARNT[no] for page, no in got if page == 1)
+
+
+def test_exchanges_never_seen_are_smoothed():
+    channel = noise.Channel({w: frozenset(["en"]) for w in ("the", "keeper", "window", "lantern", "windows")}, {}, {"the": 50, "keeper": 5, "window": 5}, {})
+    for read, meant in (("keeqer", "keeper"), ("wimdow", "window"), ("lamtern", "lantern"), ("windov", "window"), ("win dow", None), ("kxxqer", None), ("tqe", None)):
+        found = channel.misread(f"the {read} the", None, None)[1]
+        assert [w for *_, w in found] == ([meant] if meant else []), read
+
+
+def test_model_and_vocabulary_beyond_what_is_sent_out(spark, monkeypatch):
+    lines, pages, words = tables(spark, {"b": BOOK})
+    text = sorted(tuple(r) for r in noise.paragraphs(lines, pages, words).collect())
+    monkeypatch.setattr(noise, "MAX_FACTS", 0)
+    monkeypatch.setattr(noise, "MAX_WORDS", 3)
+    assert sorted(tuple(r) for r in noise.paragraphs(lines, pages, words).collect()) == text
+
+
+def test_near_words_against_brute_force():
+    import random
+
+    rng = random.Random(4)
+    listed = {"".join(rng.choice("abc") for _ in range(rng.randint(2, 6))) for _ in range(60)}
+    vocabulary = noise.Vocabulary({w: frozenset(["x"]) for w in listed})
+    for _ in range(200):
+        read = "".join(rng.choice("abc") for _ in range(rng.randint(1, 7)))
+        want = {w for w in listed if w != read and any(read == w[:i] + new + w[j:] for i in range(len(w) + 1) for j in range(i, min(i + 2, len(w)) + 1) for new in {read[i : i + k] for k in (0, 1, 2)})}
+        got = vocabulary.near(read)
+        assert set(got) == want
+        assert all(any(w[i:].startswith(b) and w[:i] + a + w[i + len(b) :] == read for i in range(len(w) + 1)) for w, (a, b) in got.items())
+
+
 def test_long_line_and_unknown_words():
     channel = noise.Channel({"harbour": frozenset(["en"]), "in": frozenset(["en"])}, {}, {}, {})
     line, found = channel.misread("barbour " * 4000, None, None)
