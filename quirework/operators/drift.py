@@ -1,9 +1,14 @@
 """Records whose fields drift between files, into one table and a list of changes.
 
 Method: versioned schema fingerprints with explicit migration steps. Each file's
-fields, spellings and value types make its fingerprint; the step from the file
-before is recorded as added, removed, renamed and retyped fields; each record is
-then routed through rename, default and cast rules to the one target schema.
+fields, spellings and value types make its fingerprint. Consecutive files of one
+fingerprint are one version of the feed (``version_starts``); only where a version
+begins is anything compared, and added, removed, renamed and retyped fields are
+recorded (``changes``). The steps of each fingerprint, which spellings become which
+field and of which type they are, are a table of their own (``steps``) that a store
+keeps and extends (``store_steps``). A record is routed by the fingerprint of its
+file through these rename, default and cast rules to the one target schema
+(``unified``), which names every value that could not be cast.
 
 A feed may hold a third of all records: records are reduced to distinct (file,
 field, spelling, type) before any shuffle by feed, and the windows that follow run
@@ -16,10 +21,11 @@ to no file; a file delivered twice is one file, the union of its deliveries.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quirework.functions import variants as V
+from quirework.session import cut
 
 #: Target type of each known field; everything else stays text.
 TYPES = {
@@ -59,12 +65,61 @@ def file_fields(records: DataFrame, field_names: DataFrame) -> DataFrame:
     )
 
 
+def _fingerprint() -> Column:
+    part = F.when(F.col("field_name").isNotNull(), F.concat_ws(":", "field_name", F.array_join("spellings", ","), F.array_join("types", ",")))
+    return F.sha2(F.array_join(F.sort_array(F.collect_list(part)), "|"), 256)
+
+
+def fingerprints(fields: DataFrame) -> DataFrame:
+    """(feed, file_no, fingerprint, n_fields): files of equal schema have one fingerprint."""
+    return fields.groupBy("feed", "file_no").agg(_fingerprint().alias("fingerprint"), F.count("field_name").alias("n_fields"))
+
+
+def version_starts(marks: DataFrame) -> DataFrame:
+    """(feed, file_no, fingerprint): the files with which another version of their feed begins, the first file included."""
+    before = F.lag("fingerprint").over(Window.partitionBy("feed").orderBy("file_no"))
+    return marks.withColumn("_before", before).where(~F.col("fingerprint").eqNullSafe(F.col("_before"))).select("feed", "file_no", "fingerprint")
+
+
+def steps(fields: DataFrame) -> DataFrame:
+    """(fingerprint, field_name, spellings, types): the migration steps of every version, each once.
+
+    A spelling that is not the field's name is renamed, a field that is not there
+    gets its default, types that are not the target's are cast.
+    """
+    marks = fingerprints(fields).groupBy("fingerprint").agg(F.min(F.struct("feed", "file_no")).alias("f"))
+    one = marks.select("fingerprint", "f.feed", "f.file_no")  # any file of the version shows them
+    return fields.where("field_name IS NOT NULL").join(one, ["feed", "file_no"]).select("fingerprint", "field_name", "spellings", "types")
+
+
+def store_steps(fields: DataFrame, folder: str) -> DataFrame:
+    """The steps of every version that ``folder`` knows, those of ``fields`` added. Named by its content, so it may be repeated."""
+    from quirework import store
+
+    spark = fields.sparkSession
+    known = [n for n in store.names(spark, folder) if store.exists(spark, f"{folder}/{n}/_SUCCESS")]
+    new = steps(fields)
+    if known:
+        new = new.join(spark.read.parquet(*[f"{folder}/{n}" for n in known]).select("fingerprint").distinct(), "fingerprint", "left_anti")
+    h = F.xxhash64("fingerprint", "field_name")
+    total = new.agg(F.count(F.lit(1)).alias("n"), F.bit_xor(h).alias("h")).first()
+    if total["n"]:
+        name = f"v-{total['n']:x}-{total['h'] & (2**64 - 1):x}"
+        new.write.mode("overwrite").parquet(f"{folder}/{name}")
+        known.append(name)
+    return spark.read.parquet(*[f"{folder}/{n}" for n in known]) if known else new
+
+
 def changes(fields: DataFrame) -> DataFrame:
-    """(feed, file_no, field_name, change) of each file against the one before it."""
-    files = fields.select("feed", "file_no").distinct()
+    """(feed, file_no, field_name, change) of each file against the one before it.
+
+    Files of one version have no changes between them, so only the files with
+    which a version begins are compared, each with the version before.
+    """
+    fields = cut(fields)  # read once for the fingerprints and once for the comparison
+    files = version_starts(fingerprints(fields))
     by_file = Window.partitionBy("feed").orderBy("file_no")
-    files = files.withColumn("seq", F.row_number().over(by_file))
-    files = files.withColumn("next_file", F.lead("file_no").over(by_file))
+    files = files.select("feed", "file_no", F.row_number().over(by_file).alias("seq"), F.lead("file_no").over(by_file).alias("next_file"))
     rows = fields.where("field_name IS NOT NULL").join(files, ["feed", "file_no"])
     w = Window.partitionBy("feed", "field_name").orderBy("seq")
     earlier = w.rowsBetween(Window.unboundedPreceding, -1)
@@ -91,41 +146,46 @@ def versions(fields: DataFrame) -> DataFrame:
 
     ``version`` counts the schemas of the feed in the order of their first file.
     """
-    part = F.when(F.col("field_name").isNotNull(), F.concat_ws(":", "field_name", F.array_join("spellings", ","), F.array_join("types", ",")))
-    marks = fields.groupBy("feed", "file_no").agg(
-        F.sha2(F.array_join(F.sort_array(F.collect_list(part)), "|"), 256).alias("fingerprint"),
-        F.count("field_name").alias("n_fields"),
-    )
+    marks = fingerprints(fields)
     first = marks.groupBy("feed", "fingerprint").agg(F.min("file_no").alias("first_file"))
     first = first.withColumn("version", F.row_number().over(Window.partitionBy("feed").orderBy("first_file")))
     return marks.join(first, ["feed", "fingerprint"]).select("feed", "file_no", "version", "fingerprint", "n_fields")
 
 
+def routes(fields: DataFrame, known: DataFrame) -> DataFrame:
+    """(feed, file_no, route): for each file the spellings of each field, by the steps of its version."""
+    ways = known.groupBy("fingerprint").agg(F.map_from_entries(F.collect_list(F.struct("field_name", "spellings"))).alias("route"))
+    return fingerprints(fields).join(ways, "fingerprint").select("feed", "file_no", "route")
+
+
 def unified(records: DataFrame, field_names: DataFrame, kind: str) -> DataFrame:
-    """One consistent table of a record kind: (record_id, feed, file_no, line_no, <fields>, extra, n_failed).
-
-    Rules, in this order: rename (any known spelling to its field; if several
-    spellings of one field stand in a record, the first by name with a value),
-    default (a missing field is null), cast (to the field's target type; a value
-    that cannot be cast is null and counted in ``n_failed``). Paths given in parts
-    are joined, single values in arrays or objects are taken out, unlisted fields go
-    to ``extra`` as JSON by key. Records without a body are left out. The fields
-    come from ``field_names``, which is checked to be no longer than 10,000 rows.
+    """One consistent table of a record kind: (record_id, feed, file_no, line_no, exported_at, <fields>, extra, failed, n_failed).
+
+    Each record takes the route of its file's version. Rules, in this order: rename
+    (the spellings that the version has for a field; if several stand in a record,
+    the field's own name and then the first by name with a value), default (a
+    field that is missing is null), cast (to the field's target type; the fields
+    whose value could not be cast are null and named in ``failed``). Paths given in
+    parts are joined, single values in arrays or objects are taken out, unlisted
+    fields go to ``extra`` as JSON by key. Records without a body are left out;
+    one of no file, which has no version, may use every known spelling. The fields
+    are those of ``field_names``, one column each.
     """
-    from quirework.session import row_count_at_most
-
-    known = row_count_at_most(field_names.where(F.col("record_kind") == kind).select("spelling", "field_name").distinct(), 10_000)
-    if known is None:
-        raise ValueError("field_names is no table of field spellings: more than 10,000 rows")
+    known = field_names.where(F.col("record_kind") == kind).select("spelling", "field_name").distinct().collect()  # the columns of the result
+    fields = file_fields(records.where(F.col("record_kind") == kind), field_names)
+    way = routes(fields, steps(fields))
     spellings: dict[str, list[str]] = {}
     for row in known:
         spellings.setdefault(row["field_name"], []).append(row["spelling"])
-    body = parsed(records.where(F.col("record_kind") == kind)).withColumn("m", F.expr("try_variant_get(body, '$', 'map<string,variant>')")).drop("body")
+    rows = records.where(F.col("record_kind") == kind).select("record_id", "feed", "file_no", "line_no", "exported_at", "record_kind", "raw_json").join(way, ["feed", "file_no"], "left")
+    body = parsed(rows).withColumn("m", F.expr("try_variant_get(body, '$', 'map<string,variant>')")).drop("body")
     sql = ["record_id", "feed", "file_no", "line_no", "exported_at"]
     raw = {}
     for field, ways in sorted(spellings.items()):
-        values = [f"CASE WHEN schema_of_variant(m['{w}']) <> 'VOID' THEN m['{w}'] END" for w in sorted(ways, key=lambda w: (w != field, w))]
-        raw[field] = f"coalesce({', '.join(values)})"
+        every = ", ".join(f"'{w}'" for w in sorted(ways, key=lambda w: (w != field, w)))
+        here = f"route['{field}']"
+        mine = f"CASE WHEN route IS NULL THEN array({every}) WHEN size({here}) < 2 THEN {here} ELSE concat(filter({here}, w -> w = '{field}'), filter({here}, w -> w <> '{field}')) END"
+        raw[field] = f"try_element_at(filter(transform({mine}, w -> m[w]), x -> x IS NOT NULL AND schema_of_variant(x) <> 'VOID'), 1)"
     staged = body.selectExpr(*sql, "m", *[f"{e} AS `v_{f}`" for f, e in raw.items()])
     listed = ", ".join(f"'{w}'" for ways in spellings.values() for w in ways)
     cast, failed = [], []
@@ -135,7 +195,6 @@ def unified(records: DataFrame, field_names: DataFrame, kind: str) -> DataFrame:
         one = f"CASE WHEN schema_of_variant({v}) LIKE 'ARRAY%' AND variant_get({v}, '$[1]') IS NULL THEN coalesce(try_variant_get({v}, '$[0]', 'string'), {value}) ELSE {value} END"
         if field in TYPES:
             cast.append(f"try_cast({value} AS {TYPES[field]}) AS `{field}`")
-            failed.append(f"CASE WHEN {v} IS NOT NULL AND try_cast({value} AS {TYPES[field]}) IS NULL THEN 1 ELSE 0 END")
         elif field in PATH_PARTS:
             a, b = PATH_PARTS[field]
             cast.append(f"CASE WHEN try_variant_get({v}, '$.{a}', 'string') IS NOT NULL THEN concat_ws('/', try_variant_get({v}, '$.{a}', 'string'), try_variant_get({v}, '$.{b}', 'string')) ELSE {one} END AS `{field}`")
@@ -149,7 +208,10 @@ def unified(records: DataFrame, field_names: DataFrame, kind: str) -> DataFrame:
             cast.append(f"{value} AS `{field}`")
         else:
             cast.append(f"{one} AS `{field}`")
+    for field, out in zip(raw, cast):
+        failed.append(f"CASE WHEN `v_{field}` IS NOT NULL AND ({out.rpartition(' AS ')[0]}) IS NULL THEN '{field}' END")
     extra = f"map_filter(transform_values(m, (k, x) -> to_json(x)), (k, x) -> k NOT IN ({listed or 'NULL'})) AS extra"
     # a filter on m would be pushed below the parsing and repeat it; one on what is generated stays
-    fields = ", ".join([*cast, extra, f"{' + '.join(failed) or '0'} AS n_failed", "true AS _there"])
+    wrong = f"array_compact(array({', '.join(failed)}))" if failed else "CAST(array() AS array<string>)"
+    fields = ", ".join([*cast, extra, f"{wrong} AS failed", f"size({wrong}) AS n_failed", "true AS _there"])
     return staged.selectExpr(*sql, f"inline_outer(CASE WHEN m IS NOT NULL THEN array(struct({fields})) END)").where("_there").drop("_there")

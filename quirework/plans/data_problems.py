@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from quirework.operators import compaction, drift, incremental, nested
 from quirework.session import read_table
@@ -48,6 +49,11 @@ def p3_versions(spark: SparkSession, d: str) -> DataFrame:
     return drift.versions(_fields(spark, d))
 
 
+def p3_steps(spark: SparkSession, d: str) -> DataFrame:
+    """The migration steps of every version."""
+    return drift.steps(_fields(spark, d)).select("fingerprint", "field_name", F.array_join("spellings", ",").alias("spellings"), F.array_join("types", ",").alias("types"))
+
+
 def p3_jobs_table(spark: SparkSession, d: str) -> DataFrame:
     return drift.unified(read_table(spark, d, "export_records"), read_table(spark, d, "field_names"), "jobs")
 
@@ -62,7 +68,7 @@ def p4_found(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (p1_found, p1_containers, p2_found, p2_lines, p2_points, p2_profile_values, p3_found, p3_versions, p3_jobs_table, p3_pages_table, p4_found)
+    for f in (p1_found, p1_containers, p2_found, p2_lines, p2_points, p2_profile_values, p3_found, p3_versions, p3_steps, p3_jobs_table, p3_pages_table, p4_found)
 }
 
 _DOTS = "regexp_replace({0}, '/(\\.?/)+', '/', 'g')"
@@ -150,6 +156,8 @@ UNION ALL SELECT feed, file_no, field_name, 'retyped' FROM w WHERE ps = seq - 1
   FROM files f LEFT JOIN ff ON ff.feed = f.feed AND ff.file_no = f.file_no GROUP BY ALL),
 v AS (SELECT feed, fingerprint, row_number() OVER (PARTITION BY feed ORDER BY min(file_no))::INT AS version FROM m GROUP BY feed, fingerprint)
 SELECT m.feed, m.file_no, v.version, m.fingerprint, m.n_fields FROM m JOIN v ON v.feed = m.feed AND v.fingerprint = m.fingerprint""",
+    "p3_steps": f"""WITH {_FIELDS}, m AS (SELECT feed, file_no, sha256(array_to_string(list_sort(list(field_name || ':' || sp || ':' || coalesce(ty, ''))), '|')) AS fingerprint FROM ff GROUP BY ALL)
+SELECT DISTINCT fingerprint, field_name, sp AS spellings, coalesce(ty, '') AS types FROM ff JOIN m USING (feed, file_no)""",
     "p4_found": """WITH r AS (SELECT j.*, s.state FROM jobs j JOIN scan_runs s USING (run_no)),
 cur AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY source_path, stage ORDER BY run_no DESC, job_row_id DESC) AS rn FROM r WHERE state = 'open') WHERE rn = 1),
 com AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY source_path, stage ORDER BY run_no DESC, job_row_id DESC) AS rn FROM r WHERE state = 'success') WHERE rn = 1)

@@ -59,6 +59,28 @@ def test_unified_table(spark):
     assert [(r["source_size"], r["status"], r["source_path"], r["n_failed"], r["extra"]) for r in got] == [
         (5, "success", None, 0, {"queue": "3"}), (7, "failed", "/r/a/b", 0, {}), (None, "true", None, 1, {}),
     ]
+    assert [r["failed"] for r in got] == [[], [], ["source_size"]]
+
+
+def test_every_failed_cast_is_named_and_lost_files_keep_their_records(spark):
+    listed = [*NAMES, ("jobs", "started_at", "started_at"), ("jobs", "begun", "started_at")]
+    named = spark.createDataFrame(listed, "record_kind string, spelling string, field_name string")
+    rows = [("f", "jobs", 1, {"started_at": "no time", "source_size": {"a": 1}}), (None, "jobs", 1, {"begun": "2025-01-02T03:04:05Z", "size_bytes": 4}), ("f", "jobs", None, {"state": "x"})]
+    got = [r.asDict() for r in drift.unified(table(spark, rows), named, "jobs").orderBy("record_id").collect()]
+    assert got[0]["failed"] == ["source_size", "started_at"] and got[0]["n_failed"] == 2
+    assert got[1]["source_size"] == 4 and got[1]["started_at"] is not None and got[1]["failed"] == [] and got[2]["status"] == "x"
+
+
+def test_versions_are_stored_once(spark, tmp_path):
+    folder = str(tmp_path / "steps")
+    rows = [("f", "jobs", n, {"size_bytes": 1, "state": "x"}) for n in (1, 2, 3)] + [("g", "jobs", 1, {"size_bytes": 1, "state": "x"}), ("g", "jobs", 2, {"source_size": 1})]
+    fields = drift.file_fields(table(spark, rows), names(spark))
+    starts = drift.version_starts(drift.fingerprints(fields)).select("feed", "file_no").collect()
+    assert sorted(map(tuple, starts)) == [("f", 1), ("g", 1), ("g", 2)]
+    known = drift.store_steps(fields, folder)
+    assert known.count() == 3 and drift.store_steps(fields, folder).count() == 3
+    more = drift.file_fields(table(spark, [*rows, ("g", "jobs", 3, {"status": 1})]), names(spark))
+    assert drift.store_steps(more, folder).select("fingerprint").distinct().count() == 3
 
 
 def test_empty(spark):
