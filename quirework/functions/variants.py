@@ -6,8 +6,12 @@ from pyspark.sql import SparkSession
 
 
 def allow_duplicate_keys(spark: SparkSession) -> None:
-    """A key written twice in an object keeps its last value, as JSON readers commonly do."""
-    spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
+    """A key written twice in an object keeps its last value, as JSON readers commonly do.
+
+    Sessions of this package start with the option; another session gets it here, for the queries are evaluated later.
+    """
+    if spark.conf.get("spark.sql.variant.allowDuplicateKeys", "false") != "true":
+        spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
 
 
 def kind_of_schema(s: str) -> str:

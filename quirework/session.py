@@ -21,6 +21,7 @@ def local_session(cores: int | str = "*", app: str = "quirework", **conf: str) -
         "spark.sql.shuffle.partitions": "8",
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
+        "spark.sql.variant.allowDuplicateKeys": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
@@ -38,8 +39,8 @@ def local_session(cores: int | str = "*", app: str = "quirework", **conf: str) -
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints.
 
-    A cluster names it in ``spark.checkpoint.dir``; only where that is unset (a
-    local test session) a temporary folder of this machine is made.
+    A cluster names it in ``spark.checkpoint.dir``; only where that is unset and the
+    master is local (a test session) a temporary folder of this machine is made.
     """
     named = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if named:
@@ -49,6 +50,8 @@ def shared_dir(spark: SparkSession) -> str:
     current = spark.sparkContext._jsc.sc().getCheckpointDir()
     if current.isDefined():
         return current.get()
+    if spark.sparkContext.master.partition("[")[0] != "local":
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="quirework-"))
     return spark.sparkContext._jsc.sc().getCheckpointDir().get()
 

@@ -101,8 +101,17 @@ def test_configuration(tmp_path):
     for change in ({"output_root": str(tmp_path / "in" / "x")}, {"cache_root": str(tmp_path / "out" / "c")}, {"overwrite": "yes"}, {"runtime": {"device": "tpu"}}, {"runtime": {"ocr_workers": True}}, {"input_sources": []}, {"input_sources": [{"path": "/x", "type": "doc"}]}):
         with pytest.raises(ValueError):
             safety.project(base | change)
-    with pytest.raises(ValueError):
-        safety.project([])
+    odd = safety.project(base | {"runtime": None, "overwrite": None, "manifest_path": None, "some_config": "pipe.json", "surplus": 1})
+    assert (odd.runtime.batch_size, odd.runtime.device, odd.overwrite, odd.engine_config) == (1, "auto", False, "pipe.json")
+    with pytest.raises(ValueError, match="manifest_path"):
+        safety.project(base | {"manifest_path": str(tmp_path / "in" / "jobs.parquet")})
+    with pytest.raises(ValueError) as all_at_once:
+        safety.project({"input_sources": [7, {"path": None, "type": "x"}], "output_root": 5, "runtime": {"batch_size": 0}, "resume": "no"})
+    for key in ("input_sources[0]", "input_sources[1].path", "input_sources[1].type", "output_root", "log_dir", "cache_root", "runtime.batch_size", "resume"):
+        assert key in str(all_at_once.value)
+    for wrong in ([], None, "x", {}):
+        with pytest.raises(ValueError):
+            safety.project(wrong)
     assert safety.canonical_profile({"b": 1, "a": "é"}) == '{"a":"é","b":1}'
 
 
