@@ -2,7 +2,7 @@ import unicodedata
 
 from quirework.llm import lookalikes
 
-TERMS = [(1, "Colección Quaélzor 7"), (2, "Фонд Лукор опись 71"), (3, "Office Press No 5"), (4, "北水奥维 80 集"), (5, "ミカサザコレクション 99"), (6, "Αρχείο Κ11"), (7, None)]
+TERMS = [(1, "Colección Quaélzor 7"), (2, "Фонд Лукор опись 71"), (3, "Office Press No 5"), (4, "北水奥维 80 集"), (5, "ミカサザコレクション 99"), (6, "Αρχείο Κ11"), (7, None), (8, "ATLAS VIII TOM X")]
 SAME = {
     1: ["Colección Quaélzor 7", unicodedata.normalize("NFD", "Colección Quaélzor 7"), "Соlеcción Quаélzоr 7", "Ｃｏｌｅｃｃｉóｎ　Ｑｕａéｌｚｏｒ ７", "Colec­ción Quaél​zor 7", "﻿Colección Quaélzor 7 "],
     2: ["Фoнд Лyкop oпиcь 71", "Фонд Лукор опись 71", "Ф‍онд Лукор опи⁠сь 71"],
