@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quirework.session import cut
+
 
 def distributed_rank(df: DataFrame, key: str, order: str, out: str, buckets: int) -> DataFrame:
     """Zero-based position of each row among the rows of its ``key``.
@@ -59,3 +61,27 @@ def last_in_sequence(df: DataFrame, key: str, order: str, value: str, out: str,
     chunks = chunks.select("_k", "_cc", F.last("_lastv", ignorenulls=True).over(outer).alias("_earlier"))
     joined = base.join(chunks, F.col(key).eqNullSafe(F.col("_k")) & (F.col("_c") == F.col("_cc")), "left")
     return joined.withColumn(out, F.coalesce("_here", "_earlier")).drop("_c", "_here", "_k", "_cc", "_earlier")
+
+
+def running(df: DataFrame, key: str, order: list[Column | str], **sums: Column) -> DataFrame:
+    """Adds sums over the rows of ``key`` up to and with each row, in ``order``: a rank from 1 is the sum of ones.
+
+    The rows are cut into ranges of (key, order), so a key with a third of all rows
+    lies in many; each range is summed by itself and shifted by the sums of the
+    ranges before it. The ranges are kept in the shared folder, so that each row
+    stays in its range. ``order`` should be total; equal rows may come either way.
+    """
+    spark = df.sparkSession
+    ranges = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    columns = [F.col(c) if isinstance(c, str) else c for c in order]
+    base = df.withColumns({f"_o{i}": c for i, c in enumerate(columns)} | {f"_s_{name}": c for name, c in sums.items()})
+    names = [f"_o{i}" for i in range(len(columns))]
+    base = cut(base.repartitionByRange(ranges, key, *names).withColumn("_p", F.spark_partition_id()))
+    totals = base.groupBy(F.col(key).alias("_k"), F.col("_p").alias("_pp")).agg(*[F.sum(f"_s_{n}").alias(f"_t_{n}") for n in sums])
+    before = Window.partitionBy("_k").orderBy("_pp").rowsBetween(Window.unboundedPreceding, -1)
+    shifts = totals.select("_k", "_pp", *[F.coalesce(F.sum(f"_t_{n}").over(before), F.lit(0)).alias(f"_h_{n}") for n in sums])
+    here = Window.partitionBy(key, "_p").orderBy(*names).rowsBetween(Window.unboundedPreceding, 0)
+    summed = base.withColumns({f"_r_{n}": F.sum(f"_s_{n}").over(here) for n in sums})
+    joined = summed.join(shifts, F.col(key).eqNullSafe(F.col("_k")) & (F.col("_p") == F.col("_pp")))
+    out = joined.withColumns({n: F.col(f"_r_{n}") + F.col(f"_h_{n}") for n in sums})
+    return out.drop("_k", "_pp", "_p", *names, *[f"_{x}_{n}" for n in sums for x in ("s", "r", "h", "t")])

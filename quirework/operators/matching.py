@@ -7,13 +7,14 @@ from pyspark.sql import functions as F
 
 from quirework.functions.names import IMAGE_SUFFIXES, candidate_names, result_name, walk_key
 from quirework.functions.paths import ancestors, suffix
+from quirework.functions.ranks import running
 
 
 def image_tasks(files: DataFrame, out_dir: str) -> DataFrame:
     """Images of (root, rel, ...) with their result path and ``task_index`` in walk order."""
     images = files.where(suffix("rel").isin(*IMAGE_SUFFIXES))
-    order = Window.partitionBy("root").orderBy(walk_key("rel"))
-    return images.withColumn("output_json", F.concat(F.lit(out_dir + "/"), result_name("rel"))).withColumn("task_index", F.row_number().over(order) - 1)
+    ranked = running(images, "root", [walk_key("rel"), "rel"], task_index=F.lit(1))  # a root may hold all images there are
+    return ranked.withColumn("output_json", F.concat(F.lit(out_dir + "/"), result_name("rel"))).withColumn("task_index", (F.col("task_index") - 1).cast("int"))
 
 
 def output_collisions(tasks: DataFrame, by: str = "output_json", order: str = "task_index") -> DataFrame:

@@ -34,9 +34,10 @@ def char_placement(chars: DataFrame, doc: list[str], mode: str, image_width: Col
     """(doc keys, char_no, char, x0, y0, x1, y1, font_size) of character-level results.
 
     ``chars`` has chars array<string>, coors array<array<double>>, Width and Height.
-    Characters without 4 or 8 numbers, or without area, are left out, as are
-    positions beyond the shorter of the two arrays.
+    Characters without 4 or 8 numbers, or without area, are left out. A page whose
+    two arrays are not of one length is left out as a whole: ``uneven_pages`` has it.
     """
+    chars = chars.where(F.size("chars") == F.size("coors"))
     zipped = chars.select(*doc, (image_width / F.col("Width")).alias("_sx"), (image_height / F.col("Height")).alias("_sy"), F.posexplode(F.arrays_zip("chars", "coors")).alias("char_no", "_z"))
     boxed = zipped.where("_z.chars IS NOT NULL AND _z.coors IS NOT NULL").withColumn("_b", geometry.char_box(F.col("_z.coors"), mode, F.col("_sx"), F.col("_sy")))
     boxed = boxed.where("_b IS NOT NULL")
@@ -46,6 +47,12 @@ def char_placement(chars: DataFrame, doc: list[str], mode: str, image_width: Col
     return boxed.select(*doc, "char_no", F.col("_z.chars").alias("char"), move("x0", x_offset), move("y0", y_offset), move("x1", x_offset), move("y1", y_offset), size.alias("font_size"))
 
 
+def uneven_pages(chars: DataFrame, doc: list[str]) -> DataFrame:
+    """(doc keys, n_chars, n_coors) of the pages that ``char_placement`` leaves out; a null array has length null."""
+    sizes = [F.when(F.col(c).isNotNull(), F.size(c)).alias(n) for c, n in (("chars", "n_chars"), ("coors", "n_coors"))]
+    return chars.select(*doc, *sizes).where(~(F.coalesce(F.col("n_chars"), F.lit(-1)) == F.coalesce(F.col("n_coors"), F.lit(-2))))
+
+
 def checked_documents(built: DataFrame, expected: DataFrame, key: str) -> DataFrame:
     """(key, error): documents that are missing, empty or of another page count than expected."""
     j = expected.select(key, F.col("pages").alias("_want")).join(built.select(key, "pages", "n_bytes", "is_symlink"), key, "left")

@@ -73,3 +73,8 @@ def jobs_page(jobs: DataFrame, limit: int = 100, offset: int = 0, **conditions:
 
 def matching(jobs: DataFrame, **conditions: str) -> int:
     return jobs.where(job_filter(**conditions)).count()
+
+
+def tally(outcomes: DataFrame) -> DataFrame:
+    """One row: how many succeeded, were skipped and failed."""
+    return outcomes.agg(*[F.count_if(F.coalesce(F.col("status") == s, F.lit(False))).alias(s) for s in ("success", "skipped", "failed")])

@@ -68,9 +68,9 @@ def q04_totals(spark, d):
     return reporting.totals(read_table(spark, d, "jobs"))
 
 
-@query(f"WITH {NOW} SELECT source_path, stage, status, retry_count, error_class FROM now_ WHERE status = 'failed' AND stage = 'ocr' ORDER BY source_path, stage LIMIT 50 OFFSET 20")
+@query(f"WITH {NOW} SELECT source_path, stage, status, retry_count, error_class FROM now_ WHERE status = 'success' AND stage = 'ocr' ORDER BY source_path, stage LIMIT 50 OFFSET 20")
 def q05_jobs_page(spark, d):
-    page = reporting.jobs_page(latest(spark, d), limit=50, offset=20, status="failed", stage="ocr")
+    page = reporting.jobs_page(latest(spark, d), limit=50, offset=20, status="success", stage="ocr")
     return page.select("source_path", "stage", "status", "retry_count", "error_class")
 
 
@@ -409,23 +409,26 @@ def q26_retry_reasons(spark, d):
     return planned.select("source_path", "stage", "reason", "state")
 
 
-@query(f"""WITH {NOW}, p AS (SELECT * EXCLUDE rn FROM (SELECT *, row_number() OVER (PARTITION BY source_path, stage ORDER BY job_row_id DESC) AS rn FROM jobs WHERE run_no = 8 AND status = 'failed') WHERE rn = 1)
+@query(f"""WITH {NOW}, p AS (SELECT * EXCLUDE rn FROM (SELECT *, row_number() OVER (PARTITION BY source_path, stage ORDER BY run_no DESC, job_row_id DESC) AS rn FROM jobs WHERE status = 'failed') WHERE rn = 1)
 SELECT * FROM (SELECT p.source_path, p.stage, CASE WHEN n.status IS NULL THEN 'gone' WHEN n.status <> 'failed' THEN 'no longer failed' WHEN p.source_size IS DISTINCT FROM n.source_size OR p.source_mtime_ns IS DISTINCT FROM n.source_mtime_ns THEN 'source changed'
   WHEN p.intended_result_path IS DISTINCT FROM n.intended_result_path THEN 'target changed' WHEN p.execution_profile_json IS DISTINCT FROM n.execution_profile_json THEN 'profile changed' END AS change
   FROM p LEFT JOIN now_ n ON p.source_path = n.source_path AND p.stage = n.stage) WHERE change IS NOT NULL""")
 def q27_revalidate(spark, d):
-    w = Window.partitionBy("source_path", "stage").orderBy(F.desc("job_row_id"))
-    planned = read_table(spark, d, "jobs").where("run_no = 8 AND status = 'failed'").withColumn("_n", F.row_number().over(w)).where("_n = 1").drop("_n")
+    """The last failure of every job, planned when it happened, against the table as it stands."""
+    w = Window.partitionBy("source_path", "stage").orderBy(F.desc("run_no"), F.desc("job_row_id"))
+    planned = read_table(spark, d, "jobs").where("status = 'failed'").withColumn("_n", F.row_number().over(w)).where("_n = 1").drop("_n")
     return retry.revalidate(planned, latest(spark, d)).select("source_path", "stage", "change")
 
 
-ROOTS = ["/scan/in/lot000000", "/scan/work/bk0000000", "/scan/work/bk00000001/", "/scan/in/serials", "/nowhere"]
-
-
-@query(f"SELECT DISTINCT source_path FROM jobs, (SELECT unnest({ROOTS}) AS root) WHERE source_path = rtrim(root, '/') OR starts_with(source_path, rtrim(root, '/') || '/')")
+@query("""WITH r AS (SELECT DISTINCT output_dir AS root FROM render_results WHERE output_dir IS NOT NULL UNION SELECT regexp_replace(source, '/[^/]*$', '') FROM ocr_tasks WHERE source IS NOT NULL),
+t AS (SELECT DISTINCT intended_result_path AS p FROM jobs WHERE intended_result_path IS NOT NULL), a AS (SELECT p, unnest(list_transform(range(1, len(string_split(p, '/')) + 1), lambda n: array_to_string(string_split(p, '/')[1:n], '/'))) AS up FROM t)
+SELECT DISTINCT p AS intended_result_path FROM a JOIN r ON a.up = rtrim(r.root, '/')""")
 def q28_containment(spark, d):
-    roots = spark.createDataFrame([(r,) for r in ROOTS], "root string")
-    return matching.within_roots(read_table(spark, d, "jobs").select("source_path").distinct(), roots, "source_path")
+    """Targets that lie in a folder of images or of rendered pages."""
+    rendered = read_table(spark, d, "render_results").where("output_dir IS NOT NULL").select(F.col("output_dir").alias("root"))
+    images = read_table(spark, d, "ocr_tasks").where("source IS NOT NULL").select(paths.parent_dir("source").alias("root"))
+    targets = read_table(spark, d, "jobs").where("intended_result_path IS NOT NULL").select("intended_result_path").distinct()
+    return matching.within_roots(targets, rendered.unionByName(images), "intended_result_path")
 
 
 RENDER_144 = '{"alpha":false,"dpi":144,"format":"png","kind":"pdf_render","schema":1}'
@@ -452,8 +455,9 @@ SELECT run_no, done::INT AS done, errors::BIGINT AS errors, round(elapsed, 3) AS
 FROM w WHERE done % 100 = 0 OR done = total""")
 def q31_progress(spark, d):
     jobs = read_table(spark, d, "jobs").where("finished_at IS NOT NULL")
-    done = jobs.select("run_no", "job_row_id", F.to_timestamp("finished_at").alias("ended_at"), (F.col("status") == "failed").alias("is_error"), F.count(F.lit(1)).over(Window.partitionBy("run_no")).alias("total"))
-    p = progress.progress(done, "run_no", ["ended_at", "job_row_id"], "total")
+    jobs = jobs.join(jobs.groupBy("run_no").agg(F.count(F.lit(1)).alias("_total")), "run_no")
+    done = jobs.select("run_no", "job_row_id", F.to_timestamp("finished_at").alias("ended_at"), (F.col("status") == "failed").alias("is_error"), "_total")
+    p = progress.progress(done, "run_no", ["ended_at", "job_row_id"], "_total")
     return p.select("run_no", "done", "errors", *[F.round(c, n).alias(c) for c, n in (("elapsed_s", 3), ("rate", 6), ("mean_s", 6))], "remaining", F.round("eta_s", 3).alias("eta_s"), F.round("percent", 6).alias("percent"))
 
 
@@ -481,15 +485,15 @@ def q35_json_parents(spark, d):
     return matching.json_parents(files)
 
 
-SOURCES = ["/scan/work/Depot é", "/scan/work/reading room", "/scan/work/新区", "/scan/work/absent"]
-
-
-@query(f"WITH s AS (SELECT unnest({SOURCES}) AS root), t AS (SELECT DISTINCT source FROM ocr_tasks) SELECT root, count(source) AS n FROM s LEFT JOIN t ON starts_with(source, root || '/') GROUP BY root")
+@query("""WITH t AS (SELECT DISTINCT source FROM ocr_tasks), s AS (SELECT array_to_string(string_split(source, '/')[1:4], '/') AS root FROM t WHERE source IS NOT NULL UNION SELECT DISTINCT '/scan/gone/run' || run_no FROM scan_runs)
+SELECT s.root, count(t.source) AS n FROM s LEFT JOIN t ON starts_with(t.source, s.root || '/') OR t.source = s.root GROUP BY s.root""")
 def q36_scan_counts(spark, d):
-    sources = spark.createDataFrame(list(enumerate(SOURCES, 1)), "source_index int, root string")
+    """Files under every folder of the third level, and under folders that are not there."""
     top = F.concat_ws("/", F.slice(F.split("source", "/"), 1, 4))
-    files = read_table(spark, d, "ocr_tasks").select("source").distinct().withColumn("root", top).join(sources, "root")
-    return matching.counts_per_source(sources, files).select("root", "n")
+    files = read_table(spark, d, "ocr_tasks").where("source IS NOT NULL").select("source").distinct().select("source", top.alias("source_index"))
+    gone = read_table(spark, d, "scan_runs").select(F.concat(F.lit("/scan/gone/run"), "run_no").alias("source_index")).distinct()
+    sources = files.select("source_index").distinct().unionByName(gone)
+    return matching.counts_per_source(sources, files).select(F.col("source_index").alias("root"), "n")
 
 
 @query(f"WITH t AS (SELECT task_id, payload, {_canonical_sql('output_json')} AS output_json FROM ocr_tasks) SELECT task_id, output_json FROM t WHERE output_json NOT IN (SELECT output_json FROM t WHERE payload IS NOT NULL)")
@@ -542,14 +546,24 @@ def q40_image_sequences(spark, d):
     return folders.image_sequences(_page_files(spark, d))
 
 
-@query(f"""WITH {RESULTS}, j AS (SELECT DISTINCT '/scan/work/' || dir || '/ocr' AS dir FROM results), {_PAGE_FILES}, i AS (SELECT DISTINCT dir FROM pf)
-SELECT j.dir, replace(j.dir, '/ocr', '/pages') AS images, CASE WHEN i.dir IS NOT NULL THEN 'build' ELSE 'no images' END AS state FROM j LEFT JOIN i ON i.dir = replace(j.dir, '/ocr', '/pages')""")
+#: Books whose document has been built in some run.
+_BUILT = "b AS (SELECT DISTINCT regexp_replace(regexp_replace(source_path, '^.*/', ''), '\\.pdf$', '') AS book FROM jobs WHERE stage = 'searchable_pdf' AND status = 'success')"
+
+
+def _built(spark, d):
+    jobs = read_table(spark, d, "jobs").where("stage = 'searchable_pdf' AND status = 'success'")
+    return jobs.select(F.regexp_replace(paths.base_name("source_path"), r"\.pdf$", "").alias("book")).distinct()
+
+
+@query(f"""WITH {RESULTS}, j AS (SELECT DISTINCT '/scan/work/' || dir || '/ocr' AS dir FROM results), {_PAGE_FILES}, i AS (SELECT DISTINCT dir FROM pf), {_BUILT}
+SELECT j.dir, replace(j.dir, '/ocr', '/pages') AS images, CASE WHEN b.book IS NOT NULL THEN 'done' WHEN i.dir IS NOT NULL THEN 'build' ELSE 'no images' END AS state FROM j LEFT JOIN b ON j.dir = '/scan/work/' || b.book || '/ocr' LEFT JOIN i ON i.dir = replace(j.dir, '/ocr', '/pages')""")
 def q41_books_to_build(spark, d):
     from quirework.operators import folders
 
     json_dirs = _results(spark, d).select(F.concat(F.lit("/scan/work/"), "dir", F.lit("/ocr")).alias("dir")).distinct()
     images = _page_files(spark, d).select(F.regexp_replace("dir", "/pages$", "/ocr").alias("dir"))
-    rows = folders.books_to_build(json_dirs, images, json_dirs.where("false"), "/scan/work", "/scan/work")
+    done = _built(spark, d).select(F.concat(F.lit("/scan/work/"), "book", F.lit("/ocr")).alias("dir"))
+    rows = folders.books_to_build(json_dirs, images, done, "/scan/work", "/scan/work")
     return rows.select("dir", F.replace("images", F.lit("/ocr"), F.lit("/pages")).alias("images"), "state")
 
 
@@ -620,3 +634,73 @@ def q48_checked_documents(spark, d):
     expected = read_table(spark, d, "ocr_pages").groupBy(F.col("source_path").alias("source")).agg(F.count(F.lit(1)).alias("pages"))
     built = read_table(spark, d, "page_results").groupBy(F.col("source_path").alias("source")).agg(F.countDistinct("page_no").alias("pages"), F.coalesce(F.sum(F.octet_length("page_json")), F.lit(0)).alias("n_bytes")).withColumn("is_symlink", F.lit(False))
     return placement.checked_documents(built, expected, "source")
+
+
+# ------------------------------------------------------------ scans, totals, copies
+
+
+@query(f"""WITH f AS (SELECT DISTINCT source FROM ocr_tasks WHERE source IS NOT NULL AND regexp_matches(lower(source), '\\.(png|jpg|jpeg|bmp|tif|tiff)$'))
+SELECT source, '/scan/out/' || regexp_replace(source[12:], '\\.[^./]*$', '') || '_result.json' AS output_json FROM f""")
+def q49_image_tasks(spark, d):
+    """Every image below its root with the place of its result."""
+    files = read_table(spark, d, "ocr_tasks").where("source IS NOT NULL").select("source").distinct()
+    files = files.select("source", F.lit("/scan/work").alias("root"), F.substring("source", F.lit(12), F.length("source")).alias("rel"))
+    return matching.image_tasks(files, "/scan/out").select("source", "output_json")
+
+
+@query("""SELECT source_path, stage, coalesce(intended_result_path, '') AS target, first_owner FROM (SELECT *, row_number() OVER w AS n, first_value(job_row_id) OVER w AS first_owner FROM jobs WHERE intended_result_path IS NOT NULL
+  WINDOW w AS (PARTITION BY run_no, intended_result_path ORDER BY job_row_id)) WHERE n > 1""")
+def q50_repeated_targets(spark, d):
+    """Jobs of a run that write what an earlier job of it writes already."""
+    jobs = read_table(spark, d, "jobs").where("intended_result_path IS NOT NULL").withColumn("owner", F.concat_ws("|", "run_no", "intended_result_path"))
+    return matching.output_collisions(jobs, "owner", "job_row_id").select("source_path", "stage", F.col("intended_result_path").alias("target"), "first_owner")
+
+
+@query("SELECT count(DISTINCT source_path) AS documents, count(*) AS pages, max(page_no) AS longest FROM ocr_pages")
+def q51_page_total(spark, d):
+    return progress.page_total(read_table(spark, d, "ocr_pages").select(F.col("source_path").alias("doc"), "page_no"))
+
+
+@query(f"WITH {NOW} SELECT count(*) FILTER (status = 'success') AS success, count(*) FILTER (status = 'skipped') AS skipped, count(*) FILTER (status = 'failed') AS failed FROM now_")
+def q52_tally(spark, d):
+    return reporting.tally(latest(spark, d))
+
+
+@query("SELECT source, coalesce(bool_or(status = 'success'), false) AS force FROM ocr_tasks GROUP BY source")
+def q53_must_rebuild(spark, d):
+    tasks = read_table(spark, d, "ocr_tasks").select(F.col("source").alias("doc"), "status")
+    return planning.must_rebuild(tasks, "doc").select(F.col("doc").alias("source"), "force")
+
+
+@query(f"""WITH {_PAGE_FILES}, x AS (SELECT DISTINCT regexp_replace(regexp_replace(dir, '/pages$', ''), '^.*/', '') AS name FROM pf),
+y AS (SELECT DISTINCT regexp_replace(regexp_replace(source_path, '^.*/', ''), '\\.pdf$', '') AS name FROM page_results WHERE source_path IS NOT NULL) SELECT name FROM x JOIN y USING (name)""")
+def q54_folder_pairs(spark, d):
+    """Books that have pages as well as results."""
+    from quirework.operators import folders
+
+    rendered = _page_files(spark, d).select(paths.base_name(F.regexp_replace("dir", "/pages$", "")).alias("name"))
+    results = read_table(spark, d, "page_results").where("source_path IS NOT NULL").select(F.regexp_replace(paths.base_name("source_path"), r"\.pdf$", "").alias("name"))
+    return folders.folder_pairs(rendered, results)
+
+
+@query(f"WITH {_PAGE_FILES} SELECT DISTINCT dir FROM pf WHERE regexp_matches(lower(name), '\\.(png|jpg|jpeg|bmp|tif|tiff)$')")
+def q55_folders_with_images(spark, d):
+    from quirework.operators import folders
+
+    return folders.folders_with_images(_page_files(spark, d))
+
+
+@query("""SELECT run_no, count(*) AS jobs, round(coalesce(sum(duration_s), 0.0), 3) AS total_s, round(avg(duration_s), 6) AS mean_s, round(max(duration_s), 3) AS longest_s FROM jobs GROUP BY run_no""")
+def q56_durations(spark, d):
+    rows = progress.durations(read_table(spark, d, "jobs"), "run_no")
+    return rows.select("run_no", "jobs", F.round("total_s", 3).alias("total_s"), F.round("mean_s", 6).alias("mean_s"), F.round("longest_s", 3).alias("longest_s"))
+
+
+@query("""WITH r AS (SELECT source, max(render_id) AS render_id FROM render_results GROUP BY 1), n AS (SELECT source, count(*) AS have FROM (SELECT DISTINCT source, unnest(page_paths) AS p FROM render_results WHERE page_paths IS NOT NULL) WHERE p IS NOT NULL GROUP BY 1)
+SELECT r.source, coalesce(x.page_count, 0) AS needed, coalesce(n.have, 0) AS have, greatest(coalesce(x.page_count, 0) - coalesce(n.have, 0), 0) AS missing FROM r JOIN render_results x ON x.render_id = r.render_id LEFT JOIN n ON n.source IS NOT DISTINCT FROM r.source""")
+def q57_pages_left(spark, d):
+    """Pages that each document needs and has."""
+    renders = read_table(spark, d, "render_results")
+    needed = renders.groupBy("source").agg(F.max_by("page_count", "render_id").alias("needed"))
+    have = renders.select("source", F.explode("page_paths").alias("p")).where("p IS NOT NULL").distinct()
+    return progress.pages_left(needed, have, "source")

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from quirework import sinks, stages
 from quirework.functions.paths import decode_file_uri
-from quirework.operators import fold, matching, nested, planning
+from quirework.operators import fold, matching, nested, planning, reporting
 from quirework.schemas import EVENTS
 from quirework.session import cut
 from quirework.sources.files import list_files, read_page_json
@@ -122,5 +122,4 @@ def documents_to_rebuild(outcomes: DataFrame, doc: Column) -> DataFrame:
 
 def tally(outcomes: DataFrame) -> dict[str, int]:
     """How many succeeded, were skipped and failed: three numbers."""
-    row = outcomes.agg(*[F.count_if(F.col("status") == s).alias(s) for s in ("success", "skipped", "failed")]).first()
-    return row.asDict()
+    return reporting.tally(outcomes).first().asDict()
