@@ -87,7 +87,15 @@ JVM_OPENS = rf"(?:\A|\n\n|[!?]{_B}++)(\p{{Lu}}[\p{{L}}\p{{M}}’'-]*+)"  # in a
 JVM_INSIDE = r"\p{Ll},?[ \n](\p{Lu}[\p{L}\p{M}’'-]*+)"
 JVM_BEFORE = r"(?<![\p{L}\p{M}.])((?:\p{L}\.){0,4}\p{L}[\p{L}\p{M}-]{0,5})\."
 JVM_BEHIND = rf"\.[”»」』›)\]\"'’]*+{_B}*+(\p{{Lu}}[\p{{L}}\p{{M}}’'-]*+)"
-JVM_PLAIN = r"(?<![\p{L}\p{M}\p{Nd}.’'-])(" + "|".join(sorted(w for w in LISTED if "." not in w)) + r")(?![\p{L}\p{M}\p{Nd}.’'-])"
+
+
+def _any_of(words: list[str]) -> str:
+    """A pattern of the words by their first letters, so that few are tried at each place."""
+    heads = sorted({w[0] for w in words})
+    return "|".join(h + "(?:" + "|".join(sorted((w[1:] for w in words if w[0] == h), reverse=True)) + ")" for h in heads)
+
+
+JVM_PLAIN = r"(?<![\p{L}\p{M}\p{Nd}.’'-])(" + _any_of([w for w in LISTED if w.isalpha()]) + r")(?![\p{L}\p{M}\p{Nd}.’'-])"
 
 
 def corpus_evidence(docs: DataFrame) -> DataFrame:
