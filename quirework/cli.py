@@ -1,4 +1,4 @@
-"""``python -m quirework.cli``: scan, status, report, jobs, retry-plan, ocr, doctor, compact, clean.
+"""``python -m quirework.cli``: scan, status, report, jobs, retry-plan, retry, ocr, run, doctor, compact, clean.
 
 Exit codes: 0 well, 1 some item failed, 2 the call was wrong.
 """
@@ -108,6 +108,46 @@ def ocr(spark, args) -> int:
     return 1 if counts["failed"] else 0
 
 
+def _engine(name: str):
+    import importlib
+
+    module, _, cls = name.partition(":")
+    return getattr(importlib.import_module(module), cls)()
+
+
+def run(spark, args) -> int:
+    """Documents from end to end with the engines ``module:Class``."""
+    from quirework.plans.documents import run_documents
+    from quirework.safety import load_project
+
+    p = load_project(args.config)
+    roots = [s.path for s in p.sources if s.kind == "pdf"]
+    rows = run_documents(spark, roots, p.output_root, args.events, _engine(args.renderer), _engine(args.engine), _engine(args.builder), args.engine, args.dpi, p.resume and not args.no_resume, p.overwrite or args.overwrite).cache()
+    counts: dict[str, dict[str, int]] = {}
+    for r in rows.groupBy("stage", "status").count().orderBy("stage", "status").collect():
+        counts.setdefault(r["stage"], {})[r["status"]] = r["count"]
+    print(json.dumps(counts))
+    return 1 if any(set(c) & {"failed", "blocked"} for c in counts.values()) else 0
+
+
+def retry(spark, args) -> int:
+    """Plan the retries of failed jobs and, with ``--execute``, run what is eligible."""
+    from quirework.plans import documents, project
+    from quirework.safety import load_project
+
+    p = load_project(args.config)
+    inputs = [s.path for s in p.sources]
+    failed = documents.as_jobs(project.state(spark, args.events)).where("status = 'failed'")
+    planned = documents.plan_retries(spark, failed, p.output_root, inputs, args.overwrite)
+    if not args.execute:
+        print(json.dumps({r["state"]: r["count"] for r in planned.groupBy("state").count().collect()}))
+        return 0
+    rows = documents.execute_retries(spark, planned, p.output_root, inputs, args.events, _engine(args.engine), args.overwrite)
+    counts = {r["status"]: r["count"] for r in rows.groupBy("status").count().collect()}
+    print(json.dumps(counts))
+    return 1 if set(counts) - {"success"} else 0
+
+
 def doctor(spark, args) -> int:
     """What a run would find here: versions, processors, free room, optional libraries."""
     import importlib.util
@@ -174,6 +214,20 @@ def main(argv: list[str] | None = None) -> int:
     a.add_argument("--workers", type=int)
     a.add_argument("--no-resume", action="store_true")
     a.add_argument("--overwrite", action="store_true")
+    a = sub.add_parser("run")
+    a.add_argument("config")
+    a.add_argument("--events", required=True)
+    for kind in ("renderer", "engine", "builder"):
+        a.add_argument(f"--{kind}", required=True, help="module:Class")
+    a.add_argument("--dpi", type=int, default=144)
+    a.add_argument("--no-resume", action="store_true")
+    a.add_argument("--overwrite", action="store_true")
+    a = sub.add_parser("retry")
+    a.add_argument("config")
+    a.add_argument("--events", required=True)
+    a.add_argument("--engine", help="module:Class, needed with --execute")
+    a.add_argument("--overwrite", action="store_true")
+    a.add_argument("--execute", action="store_true")
     a = sub.add_parser("doctor")
     a.add_argument("path", nargs="?", default=".")
     a = sub.add_parser("compact")
@@ -185,10 +239,10 @@ def main(argv: list[str] | None = None) -> int:
     a.add_argument("cache")
     a.add_argument("--execute", action="store_true")
     args = ap.parse_args(argv)
-    command = {"scan": scan, "report": report, "jobs": jobs, "retry-plan": retry_plan, "status": status, "ocr": ocr, "doctor": doctor, "compact": compact, "clean": clean}[args.command]
+    command = {"scan": scan, "report": report, "jobs": jobs, "retry-plan": retry_plan, "status": status, "ocr": ocr, "run": run, "retry": retry, "doctor": doctor, "compact": compact, "clean": clean}[args.command]
     try:
         return command(None if args.command in ("clean", "doctor") else local_session(), args)
-    except (ValueError, OSError) as e:
+    except (ValueError, TypeError, OSError) as e:
         print(f"{type(e).__name__}: {e}", file=sys.stderr)
         return 2
 

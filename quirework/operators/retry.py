@@ -78,8 +78,8 @@ def plan(failed: DataFrame, files: DataFrame, output_root: str, inputs: list[str
     """Failed jobs with ``reason`` (null: eligible) and ``state``: eligible, blocked or ineligible.
 
     ``files`` (path, is_dir, is_symlink, size, mtime_ns) lists what exists under the
-    inputs and the output root. Checks that need the content of a pipeline file or of
-    the pages of a document are left to ``revalidate`` and the stage itself.
+    inputs and the output root. What needs the content of a pipeline file is
+    looked at in ``plans.documents.plan_retries``.
     """
     facts = files.select("path", "is_dir", "is_symlink", "size", "mtime_ns").dropDuplicates(["path"])
     links = facts.where("is_symlink").select(F.col("path").alias("_link"))

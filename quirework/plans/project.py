@@ -13,7 +13,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quirework import sinks, stages
-from quirework.functions.paths import decode_file_uri
+from quirework.functions.names import result_name
+from quirework.functions.paths import decode_file_uri, suffix
+from quirework.functions.ranks import running
 from quirework.operators import fold, matching, nested, planning, reporting
 from quirework.schemas import EVENTS
 from quirework.session import cut
@@ -59,12 +61,31 @@ def recognise_folder(
     """(source, output_json, status, error): success, skipped or failed for every image, in walk order.
 
     Two images with one result are an error before anything runs. Results are
-    published one file each, never in part; the events of the run follow at the end.
+    published one file each, never in part. That a job has started is recorded
+    before it runs, so a run that dies leaves it running.
     """
     files = list_files(spark, [images]).where("NOT is_dir")
     if files.where("is_symlink").head(1):
         raise ValueError("a link among the images")
     tasks = matching.image_tasks(files, out_dir).select(F.col("path").alias("source"), "output_json", "task_index", "size", "mtime_ns")
+    return recognise_tasks(spark, tasks, out_dir, events_dir, engine, profile, device, resume, overwrite, workers)
+
+
+def recognise_pages(
+    spark: SparkSession, out: str, docs: DataFrame, events_dir: str, engine: stages.Recogniser, profile: str, resume: bool = True, overwrite: bool = False, device: str = "cpu"
+) -> DataFrame:
+    """As ``recognise_folder``, for the rendered pages of documents (pages_dir, ocr_dir)."""
+    files = list_files(spark, [out]).where("NOT is_dir AND NOT is_symlink").where(suffix("name") == ".png")
+    mine = files.join(docs.select(F.col("pages_dir").alias("dir"), "ocr_dir").distinct(), "dir")
+    target = F.concat("ocr_dir", F.lit("/"), result_name("name"))
+    tasks = running(mine.select("root", F.col("path").alias("source"), target.alias("output_json"), "size", "mtime_ns"), "root", ["source"], task_index=F.lit(1))
+    return recognise_tasks(spark, tasks.drop("root"), out, events_dir, engine, profile, device, resume, overwrite)
+
+
+def recognise_tasks(
+    spark: SparkSession, tasks: DataFrame, out_dir: str, events_dir: str, engine: stages.Recogniser, profile: str, device: str = "cpu", resume: bool = True, overwrite: bool = False, workers: int | None = None
+) -> DataFrame:
+    """(source, output_json, status, error) of tasks (source, output_json, task_index, size, mtime_ns)."""
     clash = matching.output_collisions(tasks).head(1)
     if clash:
         raise ValueError(f"{clash[0]['source']} and an earlier image have one result")
@@ -83,6 +104,11 @@ def recognise_folder(
     decided = cut(joined.withColumn("d", planning.ocr_decision(exists, F.coalesce("valid", F.lit(False)), F.coalesce("_known", F.lit(False)), needs, resume, overwrite)))
 
     run = decided.where("d.outcome = 'run'")
+    last = read_events(spark, events_dir).agg(F.coalesce(F.max("seq"), F.lit(0)).alias("n")).first()["n"]
+    want = {"req_result": F.col("output_json"), "req_profile": asked}
+    began = datetime.datetime.now(datetime.timezone.utc).isoformat()
+    if run.head(1):
+        _events(run, "started", last + 1, began, worker=F.lit("spark"), device=F.lit(device), **want).coalesce(1).write.mode("append").parquet(events_dir)
     found = cut(stages.recognise(run, engine, workers).join(run.select("source", "size", "mtime_ns"), "source"))
     written = sinks.publish_rows(found.where("status = 'success'"), "output_json", "result_json", overwrite).withColumnsRenamed({"path": "output_json", "status": "_w", "error": "_e"})
     done = found.join(written, "output_json", "left").select(
@@ -91,14 +117,11 @@ def recognise_folder(
     )
     done = cut(done)
 
-    last = read_events(spark, events_dir).agg(F.coalesce(F.max("seq"), F.lit(0)).alias("n")).first()["n"]
     at = datetime.datetime.now(datetime.timezone.utc).isoformat()
-    want = {"req_result": F.col("output_json"), "req_profile": asked}
     skipped, refused = decided.where("d.outcome = 'skipped'"), decided.where("d.outcome = 'failed'")
     text = F.regexp_extract("error", r"^(\w+): ", 1)
     failure = {"err_class": F.coalesce(F.nullif(text, F.lit("")), F.lit("StageError")), "err_msg": F.col("error"), **want}
     news = [
-        _events(done, "started", last + 1, at, worker=F.lit("spark"), device=F.lit(device), **want),
         _events(done.where("status = 'success'"), "success", last + 2, at, result=F.col("output_json"), duration_s=F.col("duration_s")),
         _events(done.where("status = 'failed'"), "failure", last + 2, at, duration_s=F.col("duration_s"), **failure),
         _events(skipped.where("d.rule <> 1"), "needs_run", last + 1, at, **want),

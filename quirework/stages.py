@@ -17,6 +17,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quirework.session import cut
+
 OUTCOME = "source string, output_json string, status string, error string, duration_s double, result_json string"
 
 
@@ -35,6 +37,8 @@ class Renderer(Protocol):
 class Builder(Protocol):
     def build(self, document: str, placed: pd.DataFrame) -> bytes: ...
 
+    def join(self, parts: list[bytes]) -> bytes: ...
+
 
 #: One attempt per process and engine: a failure to set up is remembered.
 _READY: dict[str, str | None] = {}
@@ -106,6 +110,37 @@ def render(documents: DataFrame, engine: Renderer, dpi: int = 144) -> DataFrame:
     return pages.mapInPandas(run, "source string, page_no int, content binary")
 
 
+def render_safely(documents: DataFrame, engine: Renderer, dpi: int = 144) -> DataFrame:
+    """(source, page_no, content, error): as ``render``, but a document or page that fails is a row with its error."""
+    if isinstance(dpi, bool) or not isinstance(dpi, int) or not 36 <= dpi <= 1200:
+        raise ValueError("the resolution lies between 36 and 1200")
+
+    def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            rows = []
+            for source in pdf["source"]:
+                try:
+                    n = engine.page_count(source)
+                    rows.append((source, n, None if n > 0 else "ValueError: a document without pages"))
+                except Exception as e:  # whatever an engine raises
+                    rows.append((source, 0, f"{type(e).__name__}: {e}"))
+            yield pd.DataFrame(rows, columns=["source", "n", "error"])
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for source, number in zip(pdf["source"], pdf["page_no"]):
+                try:
+                    row = (source, number, engine.page(source, int(number), dpi), None)
+                except Exception as e:
+                    row = (source, number, None, f"{type(e).__name__}: {e}")
+                yield pd.DataFrame([row], columns=["source", "page_no", "content", "error"])
+
+    found = cut(documents.select("source").mapInPandas(counted, "source string, n int, error string"))
+    pages = found.where("error IS NULL").select("source", F.explode(F.sequence(F.lit(1), "n")).alias("page_no")).repartition("source", "page_no")
+    bad = found.where("error IS NOT NULL").selectExpr("source", "CAST(NULL AS int) AS page_no", "CAST(NULL AS binary) AS content", "error")
+    return pages.mapInPandas(run, "source string, page_no int, content binary, error string").unionByName(bad)
+
+
 def build(placed: DataFrame, engine: Builder, chunk: int = 50) -> DataFrame:
     """(document, chunk_id, content): documents are built in chunks of pages, to be joined in order."""
     chunked = placed.withColumn("chunk_id", F.floor((F.col("page_no") - 1) / chunk).cast("int"))
@@ -135,16 +170,25 @@ class FakeRecogniser:
 
 
 class FakeRenderer:
-    def __init__(self, pages: int = 3):
-        self.pages = pages
+    """``fail`` marks documents that cannot be opened, ``fail_page`` a page that cannot be drawn."""
+
+    def __init__(self, pages: int = 3, fail: str = "", fail_page: str = ""):
+        self.pages, self.fail, self.fail_page = pages, fail, fail_page
 
     def page_count(self, source: str) -> int:
+        if self.fail and self.fail in source:
+            raise OSError(f"cannot open {source}")
         return self.pages
 
     def page(self, source: str, number: int, dpi: int) -> bytes:
+        if self.fail_page and self.fail_page in f"{source}#{number}":
+            raise ValueError(f"cannot draw page {number}")
         return f"{source}#{number}@{dpi}".encode()
 
 
 class FakeBuilder:
     def build(self, document: str, placed: pd.DataFrame) -> bytes:
-        return "\n".join(placed["text"]).encode()
+        return "\n".join(x for x in placed["text"] if x is not None).encode()
+
+    def join(self, parts: list[bytes]) -> bytes:
+        return b"\f".join(parts)
