@@ -141,6 +141,17 @@ def nesting_depth(json: str) -> str:
     )
 
 
+def _opened(base: DataFrame) -> DataFrame:
+    """(parent_id, _text, v): the JSON text and its object, that of a string of JSON included; null if it is none."""
+    # a string of JSON hides its brackets, so it is opened before the depth is taken
+    base = base.selectExpr("parent_id", "_j", "try_parse_json(concat('[', _j, ']')) AS _w")
+    base = base.selectExpr("parent_id", "_j", "CASE WHEN variant_get(_w, '$[1]') IS NULL THEN variant_get(_w, '$[0]') END AS _v")
+    base = base.selectExpr("parent_id", "_v", "CASE WHEN schema_of_variant(_v) = 'STRING' THEN variant_get(_v, '$', 'string') END AS _inner", "_j")
+    base = base.selectExpr("parent_id", "_v", "coalesce(_inner, _j) AS _text", "try_parse_json(concat('[', _inner, ']')) AS _w")
+    base = base.selectExpr("parent_id", "_text", "CASE WHEN schema_of_variant(_v) <> 'STRING' THEN _v WHEN variant_get(_w, '$[1]') IS NULL THEN variant_get(_w, '$[0]') END AS v")
+    return base.selectExpr("parent_id", "_text", "CASE WHEN schema_of_variant(v) LIKE 'OBJECT%' THEN v END AS v")
+
+
 def profile_leaves(df: DataFrame, parent_id: str, json: str) -> DataFrame:
     """(parent_id, path, kind, value, number): every value that is neither object nor array.
 
@@ -150,15 +161,12 @@ def profile_leaves(df: DataFrame, parent_id: str, json: str) -> DataFrame:
     finds the deepest nesting, and each projection unrolls ``LEVELS`` of it.
     """
     V.allow_duplicate_keys(df.sparkSession)
-    base = df.select(F.col(parent_id).alias("parent_id"), F.col(json).cast("string").alias("_j"))
-    # a string of JSON hides its brackets, so it is opened before the depth is taken
-    base = base.selectExpr("parent_id", "_j", "try_parse_json(concat('[', _j, ']')) AS _w")
-    base = base.selectExpr("parent_id", "_j", "CASE WHEN variant_get(_w, '$[1]') IS NULL THEN variant_get(_w, '$[0]') END AS _v")
-    base = base.selectExpr("parent_id", "_v", "CASE WHEN schema_of_variant(_v) = 'STRING' THEN variant_get(_v, '$', 'string') END AS _inner", "_j")
-    base = base.selectExpr("parent_id", "_v", "coalesce(_inner, _j) AS _text", "try_parse_json(concat('[', _inner, ']')) AS _w")
-    base = base.selectExpr("parent_id", "_text", "CASE WHEN schema_of_variant(_v) <> 'STRING' THEN _v WHEN variant_get(_w, '$[1]') IS NULL THEN variant_get(_w, '$[0]') END AS v")
-    base = base.selectExpr("parent_id", "_text", "CASE WHEN schema_of_variant(v) LIKE 'OBJECT%' THEN v END AS v")
-    deepest = base.select(F.max(F.expr(f"CASE WHEN v IS NOT NULL THEN {nesting_depth('_text')} END")).alias("d")).first()["d"] or 0
+    raw = df.select(F.col(parent_id).alias("parent_id"), F.col(json).cast("string").alias("_j"))
+    base = _opened(raw)
+    # text with no more opening brackets than LEVELS cannot nest deeper; only the rest is looked at
+    brackets = "length(_j) - length(replace(replace(_j, '[', ''), '{', ''))"
+    many = _opened(raw.where(F.expr(f"{brackets} > {LEVELS}")))
+    deepest = many.select(F.max(F.expr(f"CASE WHEN v IS NOT NULL THEN {nesting_depth('_text')} END")).alias("d")).first()["d"] or 0
     rounds = max(1, -(-deepest // LEVELS))
     frontier = base.selectExpr("parent_id", "'' AS path", "v")
     found = None
