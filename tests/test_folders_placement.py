@@ -51,8 +51,9 @@ def test_placement(spark):
     assert got["left"]["font_size"] == pytest.approx(7.0) and got["left"]["baseline"] == pytest.approx(32 + 0.85 * 7.0)
     plain = {r["text"]: r["baseline"] for r in placement.placement(df, ["page_id"], ordered=False).collect()}
     assert plain["right"] == 10.0
-    chars = spark.createDataFrame([(1, ["a", "b", "c", "d"], [[0.0, 0.0, 9.0, 0.0, 9.0, 8.0, 0.0, 8.0], [1.0, 1.0, 5.0, 5.0], [1.0, 2.0, 3.0]], 10.0, 20.0)], "doc int, chars array<string>, coors array<array<double>>, Width double, Height double")
+    chars = spark.createDataFrame([(1, ["a", "b", "c"], [[0.0, 0.0, 9.0, 0.0, 9.0, 8.0, 0.0, 8.0], [1.0, 1.0, 5.0, 5.0], [1.0, 2.0, 3.0]], 10.0, 20.0), (2, ["a", "b"], [[1.0, 1.0, 5.0, 5.0]], 10.0, 20.0), (3, ["a"], None, 10.0, 20.0)], "doc int, chars array<string>, coors array<array<double>>, Width double, Height double")
     boxes = placement.char_placement(chars, ["doc"], "extent", F.lit(20.0), F.lit(20.0), x_offset=1.0).collect()
+    assert sorted(tuple(r) for r in placement.uneven_pages(chars, ["doc"]).collect()) == [(2, 2, 1), (3, 1, None)]
     assert [(r["char"], r["x0"], r["x1"], r["y1"]) for r in boxes] == [("a", 1.0, 19.0, 8.0), ("b", 3.0, 11.0, 5.0)]
 
 
