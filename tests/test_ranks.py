@@ -1,8 +1,9 @@
+import random
 from collections import defaultdict
 
 from pyspark.sql import functions as F
 
-from quirework.functions.ranks import distributed_rank, last_in_sequence, next_in_sequence
+from quirework.functions.ranks import distributed_rank, last_in_sequence, next_in_sequence, running
 
 
 def test_rank_numbers_each_key_without_gaps(spark):
@@ -27,3 +28,16 @@ def test_sequences_across_chunks(spark):
         want[k, n] = seen
         seen = v or seen
     assert last == want
+
+
+def test_running_sums_over_a_hot_key(spark):
+    rng = random.Random(6)
+    rows = [(rng.choice(["hot"] * 8 + ["a", None]), rng.randint(0, 50), i, rng.choice([1, 2, None])) for i in range(800)]
+    df = spark.createDataFrame(rows, "k string, o int, i int, v int")
+    got = {r["i"]: (r["n"], r["s"]) for r in running(df, "k", ["o", "i"], n=F.lit(1), s=F.coalesce("v", F.lit(0))).collect()}
+    for key in {r[0] for r in rows}:
+        n = total = 0
+        for _, _, i, v in sorted((r for r in rows if r[0] == key), key=lambda r: r[1:3]):
+            n, total = n + 1, total + (v or 0)
+            assert got[i] == (n, total)
+    assert len(got) == 800 and running(df.where("false"), "k", ["o"], n=F.lit(1)).count() == 0
